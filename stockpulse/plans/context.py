@@ -56,3 +56,8 @@ class Context:
     @cached_property
     def dirty_inventory(self) -> DataFrame:
         return adapters.dirty_inventory_snapshots(self.tables, self.raw["sales_daily"], self.params.grain)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        from stockpulse.operators.customers import customer_segments
+        return customer_segments(self.cleaned["sales_daily"])
