@@ -24,6 +24,15 @@ def clip(c, lower=None, upper=None) -> Column:
     return out
 
 
+def round_half_up(c, n: int) -> Column:
+    """Round half-up through DECIMAL(38, 9).
+
+    The detour fixes the decimal digits first, so any engine applying the
+    same rule gets the same result for values that sit on a tie.
+    """
+    return F.round(col(c).try_cast("decimal(38,9)"), n).cast("double")
+
+
 def clip01(c) -> Column:
     return clip(c, 0.0, 1.0)
 

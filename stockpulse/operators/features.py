@@ -116,7 +116,6 @@ def _borrow_next_sku(df: DataFrame, cols: list[str]) -> DataFrame:
     Works on the SKU-level table (one row per SKU): first values per SKU,
     then a range-partitioned ordered scan finds the next SKU with data.
     """
-    first_week = by_sku()
     firsts = (df.where(F.col("on_hand_units").isNotNull() | F.col("warehouse_zone").isNotNull())
                 .groupBy("sku_id")
                 .agg(F.min_by(F.struct(*cols), F.col("week_start")).alias("_f")))
@@ -125,7 +124,6 @@ def _borrow_next_sku(df: DataFrame, cols: list[str]) -> DataFrame:
     borrowed = skus.select("sku_id", F.first("_f", ignorenulls=True).over(nxt).alias("_b"))
     out = df.join(borrowed, "sku_id", "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col("_b")[c]) for c in cols})
-    del first_week
     return out.drop("_b")
 
 
@@ -193,15 +191,25 @@ def pre_fill_features(cleaned: dict[str, DataFrame], params: Params = Params())
     return add_rolling(df)
 
 
-def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params()) -> DataFrame:
-    """The full weekly feature table."""
+def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params(),
+                          materialize: bool = True) -> DataFrame:
+    """The full weekly feature table.
+
+    With ``materialize`` the sku x week table is checkpointed (reliable
+    checkpoint, ``spark.checkpoint.dir``) before the global statistics and
+    again at the end: its size is SKUs x weeks whatever the sales volume, the
+    lineage behind it (joins and aggregates over the raw tables) is not, and
+    every later stage reads it several times.
+    """
     df = pre_fill_features(cleaned, params)
-    # Global scalars over the dense table (mean and median of weekly units),
-    # planned as scalar subqueries; AQE reuses the shared exchanges.
+    if materialize:
+        df = df.checkpoint(eager=True)
+    # Global scalars over the dense table (mean and median of weekly units)
+    # as scalar subqueries over the materialized table.
     units = df.select("units_sold")
     mean_units = units.select(F.avg("units_sold")).scalar()
     median_units = units.select(F.median("units_sold")).scalar()
     df = sell_through_cover(df, mean_units)
     fill_cols = [f"lag_{k}" for k in params.lags] + ROLLING_COLS
-    df = median_fill(df, fill_cols, median_units)
-    return calendar_fallbacks(df)
+    df = calendar_fallbacks(median_fill(df, fill_cols, median_units))
+    return df.checkpoint(eager=True) if materialize else df

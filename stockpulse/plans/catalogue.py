@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockpulse.functions.columns import round_half_up
 from stockpulse.params import Params
 from stockpulse.plans.context import Context
 
@@ -38,11 +39,6 @@ def register(name: str, sql: str | None = None, r2=(), r4=(), covers: str = ""):
     return deco
 
 
-def round_half_up(c, n: int):
-    """Round through DECIMAL(38, 9): both engines then round the same decimal."""
-    return F.round(F.col(c).try_cast("decimal(38,9)"), n).cast("double")
-
-
 def finish(df: DataFrame, q: Query) -> DataFrame:
     rounds = {c: round_half_up(c, 2) for c in q.r2}
     rounds.update({c: round_half_up(c, 4) for c in q.r4})
@@ -62,4 +58,4 @@ def wrap_sql(q: Query, ctes: list[tuple[str, str]]) -> str:
     if rounds:
         body = f"SELECT * REPLACE ({', '.join(rounds)})\nFROM (\n{body}\n) AS _q"
     with_clause = ",\n".join(f"{n} AS ({s}\n)" for n, s in ctes)
-    return f"WITH {with_clause}\n{body}"
+    return f"WITH RECURSIVE {with_clause}\n{body}"
