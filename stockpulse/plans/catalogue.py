@@ -53,7 +53,7 @@ def run(name: str, spark: SparkSession, sf_dir: str, params: Params = Params())
 def wrap_sql(q: Query, ctes: list[tuple[str, str]]) -> str:
     body = q.sql.strip()
     # Same rule as ``round_half_up`` on the Spark side.
-    rounds = [f"CAST(ROUND(CAST({c} AS DECIMAL(38, 9)), {n}) AS DOUBLE) AS {c}"
+    rounds = [f'CAST(ROUND(CAST("{c}" AS DECIMAL(38, 9)), {n}) AS DOUBLE) AS "{c}"'
               for n, cs in ((2, q.r2), (4, q.r4)) for c in cs]
     if rounds:
         body = f"SELECT * REPLACE ({', '.join(rounds)})\nFROM (\n{body}\n) AS _q"

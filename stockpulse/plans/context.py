@@ -60,4 +60,4 @@ class Context:
     @cached_property
     def customers(self) -> DataFrame:
         from stockpulse.operators.customers import customer_segments
-        return customer_segments(self.cleaned["sales_daily"])
+        return customer_segments(self.cleaned["sales_daily"]).checkpoint(eager=True)

@@ -134,14 +134,21 @@ CTES = [
 
 
 def _baseline(ctx):
+    """Baseline run; its small outputs are checkpointed once per context."""
     key = "_baseline_run"
     if key not in ctx.__dict__:
-        ctx.__dict__[key] = fc.baseline_run(ctx.weekly, ctx.params)
+        run = fc.baseline_run(ctx.weekly, ctx.params)
+        for name in ("backtest", "metrics", "forecasts"):
+            run[name] = run[name].checkpoint(eager=True)
+        ctx.__dict__[key] = run
     return ctx.__dict__[key]
 
 
 def _risk(ctx):
-    return rk.score_risk(_baseline(ctx)["forecasts"], ctx.params)
+    key = "_risk_table"
+    if key not in ctx.__dict__:
+        ctx.__dict__[key] = rk.score_risk(_baseline(ctx)["forecasts"], ctx.params, sort=False).checkpoint(eager=True)
+    return ctx.__dict__[key]
 
 
 @register("holdout_split", covers="F1-F3", sql="""
@@ -200,7 +207,7 @@ def baseline_forecast(ctx):
 @register("risk_scores", covers="K1-K14", sql="SELECT * FROM risk ORDER BY priority_score DESC, sku_id")
 def risk_scores(ctx):
     """Stockout / overstock / volatility risk, action and money impact per SKU."""
-    return _risk(ctx)
+    return _risk(ctx).orderBy(F.desc("priority_score"), "sku_id")
 
 
 @register("risk_summary", covers="K15, P1", r2=["total_sales_at_risk_rupees", "total_locked_capital_rupees"], sql=f"""
