@@ -22,23 +22,31 @@ SEGMENT_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "unit
 W_RECENCY, W_FREQUENCY, W_DISCOUNT, W_RETURNS = 0.58, 0.22, 0.12, 0.08
 
 
-def rfm_base(sales: DataFrame) -> DataFrame:
-    """Gate, snapshot date, customer aggregate, recency."""
+def rfm_base(sales: DataFrame, materialize: bool = True) -> DataFrame:
+    """Gate, snapshot date, customer aggregate, recency.
+
+    One aggregate pass over the sales keeps the NULL-customer group, so the
+    snapshot date (last sale + 1 day, over all rows) and the customer count
+    of the gate are read from the small per-customer table instead of
+    scanning the sales again.
+    """
     if "customer_id" not in sales.columns:
         return _empty_base(sales)
-    snapshot = sales.select(F.date_add(F.max("date"), 1)).scalar()
-    n_customers = sales.select(F.countDistinct("customer_id")).scalar()
     freq = (F.countDistinct("order_id") if "order_id" in sales.columns else F.count(F.lit(1)))
-    agg = (sales.where(F.col("customer_id").isNotNull())
-                .where(n_customers > 1)                                        # R1 gate, lazy
-                .groupBy("customer_id")
+    agg = (sales.groupBy("customer_id")
                 .agg(F.max("date").alias("last_purchase"),
                      freq.alias("frequency"),
                      F.sum("revenue").alias("monetary"),
                      F.sum("units_sold").alias("units"),
                      F.avg("discount_pct").alias("avg_discount"),
                      F.sum("return_units").alias("return_units")))
-    return agg.withColumn("recency_days", F.datediff(snapshot, F.col("last_purchase")))
+    if materialize:
+        agg = agg.checkpoint(eager=True)
+    g = agg.select(F.struct(F.date_add(F.max("last_purchase"), 1).alias("snap"),
+                            F.count("customer_id").alias("n"))).scalar()
+    return (agg.where(F.col("customer_id").isNotNull())
+               .where(g["n"] > 1)                                               # R1 gate, lazy
+               .withColumn("recency_days", F.datediff(g["snap"], F.col("last_purchase"))))
 
 
 def _empty_base(sales: DataFrame) -> DataFrame:

@@ -28,11 +28,16 @@ def by_sku():
     return Window.partitionBy("sku_id").orderBy("week_start")
 
 
-def weekly_sales(sales: DataFrame) -> DataFrame:
-    """Hash aggregate by (sku, week); flag sums count rows."""
+def weekly_sales(sales: DataFrame, with_date_bounds: bool = False) -> DataFrame:
+    """Hash aggregate by (sku, week); flag sums count rows.
+
+    ``with_date_bounds`` adds the first and last sale date of each group, so
+    global date bounds can later be read from this (small) table.
+    """
+    extra = [F.min("date").alias("_dmin"), F.max("date").alias("_dmax")] if with_date_bounds else []
     return (sales.withColumn("week_start", week_floor("date"))
                  .groupBy("sku_id", "week_start")
-                 .agg(F.sum("units_sold").alias("units_sold"),
+                 .agg(*extra, F.sum("units_sold").alias("units_sold"),
                       F.sum("revenue").alias("revenue"),
                       F.avg("unit_price").alias("avg_unit_price"),
                       F.sum(F.col("promo_flag").cast("int")).alias("promo_days"),
@@ -65,8 +70,9 @@ def latest_snapshot(inv: DataFrame) -> DataFrame:
 
 
 def week_bounds(ws: DataFrame):
-    b = ws.select(F.min("week_start").alias("lo"), F.max("week_start").alias("hi"))
-    return b.select("lo").scalar(), b.select("hi").scalar()
+    """(first, last) sales week as one scalar subquery read twice."""
+    b = ws.select(F.struct(F.min("week_start").alias("lo"), F.max("week_start").alias("hi"))).scalar()
+    return b["lo"], b["hi"]
 
 
 def dense_spine(sku: DataFrame, ws: DataFrame) -> DataFrame:
@@ -84,9 +90,12 @@ def reindexed(spine: DataFrame, ws: DataFrame) -> DataFrame:
     return spine.join(ws, ["sku_id", "week_start"], "left").fillna(0, subset=SALES_MEASURES_ZERO_FILL)
 
 
-def joined_week(cleaned: dict[str, DataFrame]) -> DataFrame:
-    """Spine with sales, SKU attributes, calendar and latest snapshot."""
-    ws = weekly_sales(cleaned["sales_daily"])
+def joined_week(cleaned: dict[str, DataFrame], ws: DataFrame | None = None) -> DataFrame:
+    """Spine with sales, SKU attributes, calendar and latest snapshot.
+
+    ``ws`` may be a precomputed (e.g. checkpointed) weekly sales aggregate.
+    """
+    ws = ws if ws is not None else weekly_sales(cleaned["sales_daily"])
     wc = weekly_calendar(cleaned["calendar"])
     wi = latest_snapshot(cleaned["inventory_snapshots"])
     df = reindexed(dense_spine(cleaned["sku_master"], ws), ws)
@@ -182,9 +191,10 @@ def calendar_fallbacks(df: DataFrame) -> DataFrame:
     })
 
 
-def pre_fill_features(cleaned: dict[str, DataFrame], params: Params = Params()) -> DataFrame:
+def pre_fill_features(cleaned: dict[str, DataFrame], params: Params = Params(),
+                      ws: DataFrame | None = None) -> DataFrame:
     """Everything up to and including the raw lags and rolling statistics."""
-    df = joined_week(cleaned)
+    df = joined_week(cleaned, ws)
     df = fill_inventory(df, params.fill_scope)
     df = price_margin(df)
     df = add_lags(df, params.lags)
@@ -192,7 +202,7 @@ def pre_fill_features(cleaned: dict[str, DataFrame], params: Params = Params())
 
 
 def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params(),
-                          materialize: bool = True) -> DataFrame:
+                          materialize: bool = True, ws: DataFrame | None = None) -> DataFrame:
     """The full weekly feature table.
 
     With ``materialize`` the sku x week table is checkpointed (reliable
@@ -201,14 +211,13 @@ def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params
     lineage behind it (joins and aggregates over the raw tables) is not, and
     every later stage reads it several times.
     """
-    df = pre_fill_features(cleaned, params)
+    df = pre_fill_features(cleaned, params, ws)
     if materialize:
         df = df.checkpoint(eager=True)
     # Global scalars over the dense table (mean and median of weekly units)
     # as scalar subqueries over the materialized table.
-    units = df.select("units_sold")
-    mean_units = units.select(F.avg("units_sold")).scalar()
-    median_units = units.select(F.median("units_sold")).scalar()
+    stats = df.select(F.struct(F.avg("units_sold").alias("mean"), F.median("units_sold").alias("median"))).scalar()
+    mean_units, median_units = stats["mean"], stats["median"]
     df = sell_through_cover(df, mean_units)
     fill_cols = [f"lag_{k}" for k in params.lags] + ROLLING_COLS
     df = calendar_fallbacks(median_fill(df, fill_cols, median_units))

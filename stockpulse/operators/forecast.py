@@ -234,12 +234,14 @@ class RidgeModel:
         self.means = {c: float(stats[f"m_{c}"] or 0.0) for c in self.numeric}
         self.scales = {c: (float(stats[f"s_{c}"]) if stats[f"s_{c}"] else 1.0) for c in self.numeric}
         n, y_std = int(stats["_n"]), float(stats["_ys"] or 0.0)
-        # category vocabularies: one row per distinct label, bounded by the attribute domains
-        self.frequent, self.seen = {}, {}
-        for c in self.categorical:
-            rows = train.groupBy(c).count().collect()
-            self.frequent[c] = sorted(r[c] for r in rows if r["count"] >= self.min_frequency)
-            self.seen[c] = sorted(r[c] for r in rows)
+        # category vocabularies in one job: one row per (feature, distinct label),
+        # bounded by the attribute domains, not by the row count
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))
+                                    for c in self.categorical])).alias("p")
+        rows = train.select(pairs).groupBy("p.f", "p.v").count().collect()
+        self.frequent = {c: sorted(r["v"] for r in rows if r["f"] == c and r["count"] >= self.min_frequency)
+                         for c in self.categorical}
+        self.seen = {c: sorted(r["v"] for r in rows if r["f"] == c) for c in self.categorical}
         staged = self._features(train)
         reg = self.alpha * y_std / n if n else 0.0
         self.pipeline = Pipeline(stages=self._encoders() + [

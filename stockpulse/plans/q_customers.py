@@ -53,7 +53,7 @@ CTES = [
 SELECT customer_id, last_purchase, recency_days, frequency, monetary, units, avg_discount, return_units FROM rfm0""")
 def rfm_base(ctx):
     """Customer aggregate: last purchase, recency, distinct orders, value, units."""
-    return customers.rfm_base(ctx.cleaned["sales_daily"]).select(
+    return customers.rfm_base(ctx.sales_clean).select(
         "customer_id", "last_purchase", "recency_days", "frequency", "monetary", "units", "avg_discount",
         "return_units")
 
@@ -61,7 +61,7 @@ def rfm_base(ctx):
 @register("rfm_scores", covers="R5-R6", sql="SELECT customer_id, r_score, f_score, m_score, rfm_score FROM rfm3")
 def rfm_scores(ctx):
     """Quintile scores from exact first-come ranks (distributed), composite score."""
-    base = customers.rfm_base(ctx.cleaned["sales_daily"])
+    base = customers.rfm_base(ctx.sales_clean)
     return customers.rfm_scores(base).select("customer_id", "r_score", "f_score", "m_score", "rfm_score")
 
 

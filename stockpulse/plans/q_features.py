@@ -54,7 +54,7 @@ def calendar_derived(ctx):
           sql="SELECT * FROM ws")
 def weekly_sales(ctx):
     """Sales hash aggregate by (sku, Monday week)."""
-    return features.weekly_sales(ctx.cleaned["sales_daily"])
+    return ctx.weekly_sales
 
 
 @register("weekly_calendar", covers="W1, W3", r4=["campaign_intensity"], sql="SELECT * FROM wc")
@@ -75,7 +75,7 @@ SELECT sku_id, week_start, units_sold, revenue, avg_unit_price, promo_days, avg_
 FROM wj""")
 def dense_spine(ctx):
     """Every master SKU x every sales week, sales left-joined and zero-filled."""
-    ws = features.weekly_sales(ctx.cleaned["sales_daily"])
+    ws = ctx.weekly_sales
     df = features.reindexed(features.dense_spine(ctx.cleaned["sku_master"], ws), ws)
     return df.select("sku_id", "week_start", "units_sold", "revenue", "avg_unit_price", "promo_days",
                      "avg_discount", "ad_spend", "page_views", "return_units", "stockout_days",
@@ -104,14 +104,13 @@ def inventory_fill(ctx):
 @register("demand_lags", covers="W18", sql=f"SELECT sku_id, week_start, units_sold, {', '.join(LAG_COLS)} FROM wl")
 def demand_lags(ctx):
     """Lags 1-52 of weekly units, before imputation."""
-    return features.pre_fill_features(ctx.cleaned, ctx.params).select("sku_id", "week_start", "units_sold",
-                                                                       *LAG_COLS)
+    return ctx.pre_fill.select("sku_id", "week_start", "units_sold", *LAG_COLS)
 
 
 @register("rolling_stats", covers="W19-W20", r4=ROLL, sql=f"SELECT sku_id, week_start, {', '.join(ROLL)} FROM wl")
 def rolling_stats(ctx):
     """Guarded rolling mean (4, 8) and sample std (13) of previous weeks."""
-    return features.pre_fill_features(ctx.cleaned, ctx.params).select("sku_id", "week_start", *ROLL)
+    return ctx.pre_fill.select("sku_id", "week_start", *ROLL)
 
 
 @register("sell_through_cover", covers="W21-W22", r4=["sell_through_proxy", "inventory_cover_weeks"], sql="""

@@ -91,11 +91,13 @@ def dirty_sales_daily(t: dict[str, DataFrame], grain: str = "brand_type") -> Dat
     """Sales with injected dirt, as raw text columns.
 
     1 % of the lines appear twice, some dates do not parse, some units are
-    negative and some prices are zero (the rules are in FIXTURES.md).
+    negative and some prices are zero (the rules are in FIXTURES.md).  The
+    repeated lines come from a generator in the same pass (no second join).
     """
     b = _sales_base(t, grain)
     k = F.col("l_orderkey")
-    rows = b.select(
+    copies = F.when(k % 100 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return b.select(
         F.when(k % 97 == 0, F.lit("unknown")).otherwise(F.to_date("l_shipdate").cast("string")).alias("date"),
         "sku_id",
         F.when(k % 89 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("string").alias("units_sold"),
@@ -109,10 +111,8 @@ def dirty_sales_daily(t: dict[str, DataFrame], grain: str = "brand_type") -> Dat
         F.col("l_discount").alias("discount_pct"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(F.lit(0.0)).alias("return_units"),
         (F.col("l_linestatus") == "O").alias("stockout_flag"),
-        k.alias("_k"),
-    )
-    again = rows.where(F.col("_k") % 100 == 0)
-    return rows.unionByName(again).drop("_k")
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
 
 
 def sku_keys(t: dict[str, DataFrame], grain: str = "brand_type") -> DataFrame:
@@ -167,19 +167,22 @@ def dirty_sku_master(t: dict[str, DataFrame], grain: str = "brand_type") -> Data
     return base.unionByName(later)
 
 
-def _date_bounds(sales: DataFrame):
-    b = sales.select(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    return b.select("lo").scalar(), b.select("hi").scalar()
+def date_bounds(sales: DataFrame):
+    """(first, last) sale date as one scalar subquery read twice."""
+    b = sales.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    return b["lo"], b["hi"]
 
 
-def calendar(sales: DataFrame) -> DataFrame:
+def calendar(sales: DataFrame | None = None, bounds=None, spark: SparkSession | None = None) -> DataFrame:
     """One row per day between the first and last sale.
 
     ``campaign_intensity`` and ``is_weekend`` are left out on purpose so the
-    cleaning stage derives them.
+    cleaning stage derives them.  ``bounds`` may be given as two scalar
+    columns instead of scanning ``sales``.
     """
-    lo, hi = _date_bounds(sales)
-    days = sales.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("date"))
+    lo, hi = bounds if bounds is not None else date_bounds(sales)
+    spark = spark or sales.sparkSession
+    days = spark.range(1).select(F.explode(F.sequence(lo, hi)).alias("date"))
     m = F.month("date")
     season = F.lit(None).cast("string")
     for month, name in SEASON_BY_MONTH.items():
@@ -200,9 +203,10 @@ def calendar(sales: DataFrame) -> DataFrame:
     )
 
 
-def inventory_snapshots(t: dict[str, DataFrame], sales: DataFrame, grain: str = "brand_type") -> DataFrame:
+def inventory_snapshots(t: dict[str, DataFrame], sales: DataFrame | None = None, grain: str = "brand_type",
+                        last_date=None) -> DataFrame:
     """Synthetic snapshots: every 4th day per SKU with gaps; every 11th SKU has none."""
-    _, hi = _date_bounds(sales)
+    hi = last_date if last_date is not None else date_bounds(sales)[1]
     start = F.lit(SNAPSHOT_START).cast("date")
     keys = sku_keys(t, grain).where(F.col("sku_no") % 11 != 0)
     snaps = keys.select(
@@ -224,13 +228,14 @@ def inventory_snapshots(t: dict[str, DataFrame], sales: DataFrame, grain: str =
                  ))
 
 
-def dirty_inventory_snapshots(t: dict[str, DataFrame], sales: DataFrame, grain: str = "brand_type") -> DataFrame:
+def dirty_inventory_snapshots(t: dict[str, DataFrame], sales: DataFrame | None = None, grain: str = "brand_type",
+                              last_date=None) -> DataFrame:
     """Snapshots as text with a later duplicate for every 7th (sku, day).
 
     The duplicate holds a negative on-hand count, an unparsable on-order
     value and a zero lead time; it must win the keep-last deduplication.
     """
-    inv = inventory_snapshots(t, sales, grain)
+    inv = inventory_snapshots(t, sales, grain, last_date)
     text = [F.col(c).cast("string").alias(c) for c in
             ("date", "sku_id", "on_hand_units", "on_order_units", "lead_time_days", "reorder_point",
              "damaged_units", "reserved_units", "warehouse_zone")]
