@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.session import ensure_checkpoint_dir
+from stockpulse.session import ensure_checkpoint_dir, materialize
 
 
 def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
@@ -35,7 +35,7 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
                   # monotonically_increasing_id = (partition index << 33) + position
                   .withColumn("_pos", F.monotonically_increasing_id()
                               - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    numbered = numbered.checkpoint(eager=True)
+    numbered = materialize(numbered, "ranked")
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: a bounded broadcast
     offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip01, safe_div
 from stockpulse.functions.ranking import global_row_number, qcut_bucket
+from stockpulse.session import materialize as materialize_table
 
 SEGMENT_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "units", "rfm_score", "segment",
                    "churn_risk", "avg_discount", "return_rate"]
@@ -41,7 +42,7 @@ def rfm_base(sales: DataFrame, materialize: bool = True) -> DataFrame:
                      F.avg("discount_pct").alias("avg_discount"),
                      F.sum("return_units").alias("return_units")))
     if materialize:
-        agg = agg.checkpoint(eager=True)
+        agg = materialize_table(agg, "customer-aggregate")
     g = agg.select(F.struct(F.date_add(F.max("last_purchase"), 1).alias("snap"),
                             F.count("customer_id").alias("n"))).scalar()
     return (agg.where(F.col("customer_id").isNotNull())

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, safe_div, week_floor
 from stockpulse.params import Params
+from stockpulse.session import materialize as materialize_table
 
 SALES_MEASURES_ZERO_FILL = ["units_sold", "revenue", "promo_days", "avg_discount", "ad_spend", "page_views",
                             "return_units", "stockout_days", "unique_customers"]
@@ -107,12 +108,16 @@ def joined_week(cleaned: dict[str, DataFrame], ws: DataFrame | None = None) -> D
 
 def fill_inventory(df: DataFrame, fill_scope: str = "sku") -> DataFrame:
     """Forward fill then back fill of the snapshot columns per SKU."""
-    w = by_sku()
-    past = w.rowsBetween(Window.unboundedPreceding, 0)
-    future = w.rowsBetween(0, Window.unboundedFollowing)
+    # Both fills are running frames (O(n) per SKU): the back fill is a
+    # forward fill over the reversed week order.  A CURRENT ROW ..
+    # UNBOUNDED FOLLOWING frame would re-aggregate the whole tail per row.
+    past = by_sku().rowsBetween(Window.unboundedPreceding, 0)
+    past_reversed = (Window.partitionBy("sku_id").orderBy(F.desc("week_start"))
+                           .rowsBetween(Window.unboundedPreceding, 0))
     cols = INVENTORY_COLS + ["warehouse_zone"]
-    df = df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(past),
-                                       F.first(c, ignorenulls=True).over(future)) for c in cols})
+    df = df.withColumns({f"_bf_{c}": F.last(c, ignorenulls=True).over(past_reversed) for c in cols})
+    df = df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(past), F.col(f"_bf_{c}")) for c in cols})
+    df = df.drop(*[f"_bf_{c}" for c in cols])
     if fill_scope == "global":
         df = _borrow_next_sku(df, cols)
     return df.withColumn("warehouse_zone", F.coalesce("warehouse_zone", F.lit("Unknown")))
@@ -213,7 +218,7 @@ def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params
     """
     df = pre_fill_features(cleaned, params, ws)
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = materialize_table(df, "weekly-pre-fill")
     # Global scalars over the dense table (mean and median of weekly units)
     # as scalar subqueries over the materialized table.
     stats = df.select(F.struct(F.avg("units_sold").alias("mean"), F.median("units_sold").alias("median"))).scalar()
@@ -221,4 +226,4 @@ def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params
     df = sell_through_cover(df, mean_units)
     fill_cols = [f"lag_{k}" for k in params.lags] + ROLLING_COLS
     df = calendar_fallbacks(median_fill(df, fill_cols, median_units))
-    return df.checkpoint(eager=True) if materialize else df
+    return materialize_table(df, "weekly-features") if materialize else df

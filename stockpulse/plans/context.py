@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.operators import clean, features
 from stockpulse.params import Params
-from stockpulse.session import ensure_checkpoint_dir
+from stockpulse.session import ensure_checkpoint_dir, materialize
 from stockpulse.sources import adapters
 
 
@@ -48,7 +48,7 @@ class Context:
     @cached_property
     def weekly_sales_bounded(self) -> DataFrame:
         """Checkpointed (sku, week) sales aggregate with ``_dmin`` / ``_dmax``."""
-        return features.weekly_sales(self.sales_clean, with_date_bounds=True).checkpoint(eager=True)
+        return materialize(features.weekly_sales(self.sales_clean, with_date_bounds=True), "weekly-sales")
 
     @cached_property
     def date_bounds(self):
@@ -92,7 +92,7 @@ class Context:
     @cached_property
     def customers(self) -> DataFrame:
         from stockpulse.operators.customers import customer_segments
-        return customer_segments(self.sales_clean).checkpoint(eager=True)
+        return materialize(customer_segments(self.sales_clean), "customers")
 
     # dirty variants for the cleaning checks
     @cached_property

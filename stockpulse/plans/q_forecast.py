@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stockpulse.operators import forecast as fc
 from stockpulse.operators import risk as rk
 from stockpulse.plans.catalogue import register
+from stockpulse.session import materialize
 
 H = 8
 _NUM_PRESENT = [c for c in fc.NUMERIC_FEATURES if c != "target_margin"]
@@ -139,7 +140,7 @@ def _baseline(ctx):
     if key not in ctx.__dict__:
         run = fc.baseline_run(ctx.weekly, ctx.params)
         for name in ("backtest", "metrics", "forecasts"):
-            run[name] = run[name].checkpoint(eager=True)
+            run[name] = materialize(run[name], f"baseline-{name}")
         ctx.__dict__[key] = run
     return ctx.__dict__[key]
 
@@ -147,7 +148,7 @@ def _baseline(ctx):
 def _risk(ctx):
     key = "_risk_table"
     if key not in ctx.__dict__:
-        ctx.__dict__[key] = rk.score_risk(_baseline(ctx)["forecasts"], ctx.params, sort=False).checkpoint(eager=True)
+        ctx.__dict__[key] = materialize(rk.score_risk(_baseline(ctx)["forecasts"], ctx.params, sort=False), "risk")
     return ctx.__dict__[key]
 
 

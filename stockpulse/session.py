@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -55,3 +56,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="stockpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Cut the lineage of ``df``: write it once as Parquet under the reliable
+    checkpoint directory and continue from the written table.
+
+    One job (``Dataset.checkpoint`` on an unpersisted frame computes the plan
+    twice: once for the eager count and again to write the files), a
+    columnar re-read with column pruning, and file-size statistics that AQE
+    uses for its join decisions.  The directory is shared storage on a
+    cluster, so a lost executor only recomputes its own write tasks.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
