@@ -16,12 +16,14 @@ def col(c) -> Column:
 
 
 def clip(c, lower=None, upper=None) -> Column:
-    out = col(c)
+    """Clip to [lower, upper]; NULL stays NULL (``greatest`` alone skips NULLs)."""
+    x = col(c)
+    out = x
     if lower is not None:
         out = F.greatest(out, F.lit(lower))
     if upper is not None:
         out = F.least(out, F.lit(upper))
-    return out
+    return F.when(x.isNotNull(), out)
 
 
 def round_half_up(c, n: int) -> Column:
