@@ -1,0 +1,8 @@
+"""Streaming.
+
+The application this engine re-creates has no streaming path: every stage
+reads whole extracts (no watermark, window, state or late data anywhere),
+so nothing is built here.  Batch stages are plain DataFrame functions and
+would run unchanged inside ``foreachBatch`` if extracts ever arrive as a
+stream.
+"""
