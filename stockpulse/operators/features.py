@@ -128,14 +128,17 @@ def _borrow_next_sku(df: DataFrame, cols: list[str]) -> DataFrame:
     first snapshot of the next SKU (in sku_id order) that has one.
 
     Works on the SKU-level table (one row per SKU): first values per SKU,
-    then a range-partitioned ordered scan finds the next SKU with data.
+    then an ordered running scan over SKUs finds the next SKU with data.
+    This opt-in literal mode orders all SKUs in one window; the default
+    per-SKU scope has no such step.
     """
     firsts = (df.where(F.col("on_hand_units").isNotNull() | F.col("warehouse_zone").isNotNull())
                 .groupBy("sku_id")
                 .agg(F.min_by(F.struct(*cols), F.col("week_start")).alias("_f")))
     skus = df.select("sku_id").distinct().join(firsts, "sku_id", "left")
-    nxt = Window.orderBy("sku_id").rowsBetween(0, Window.unboundedFollowing)
-    borrowed = skus.select("sku_id", F.first("_f", ignorenulls=True).over(nxt).alias("_b"))
+    # running frame over the reversed SKU order (linear); one row per SKU
+    nxt = Window.orderBy(F.desc("sku_id")).rowsBetween(Window.unboundedPreceding, 0)
+    borrowed = skus.select("sku_id", F.last("_f", ignorenulls=True).over(nxt).alias("_b"))
     out = df.join(borrowed, "sku_id", "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col("_b")[c]) for c in cols})
     return out.drop("_b")
