@@ -45,9 +45,27 @@ def finish(df: DataFrame, q: Query) -> DataFrame:
     return df.withColumns(rounds) if rounds else df
 
 
-def run(name: str, spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
+_CONTEXTS: dict = {}
+
+
+def shared_context(spark: SparkSession, sf_dir: str, params: Params = Params()) -> Context:
+    """One plan context per (Spark application, data directory, parameters).
+
+    Stage outputs a context materializes (weekly features, customers,
+    forecasts, risk) are then written once per session and read by every
+    later query, as the original's views read the batch outputs.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, params)
+    if key not in _CONTEXTS:
+        _CONTEXTS[key] = Context(spark, sf_dir, params)
+    return _CONTEXTS[key]
+
+
+def run(name: str, spark: SparkSession, sf_dir: str, params: Params = Params(), fresh: bool = False) -> DataFrame:
+    """Build query ``name``; ``fresh`` forces a new context (whole chain recomputed)."""
     q = REGISTRY[name]
-    return finish(q.build(Context(spark, sf_dir, params)), q)
+    ctx = Context(spark, sf_dir, params) if fresh else shared_context(spark, sf_dir, params)
+    return finish(q.build(ctx), q)
 
 
 def wrap_sql(q: Query, ctes: list[tuple[str, str]]) -> str:
