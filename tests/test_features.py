@@ -65,3 +65,15 @@ def test_iso_week_fallback_at_year_edge(spark):
                          "weekend_days": F.lit(None)})
     r = features.calendar_fallbacks(df).first()
     assert (r["month"], r["week"], r["weekend_days"]) == (12, 1, 2.0)
+
+
+def test_global_fill_scope_borrows_next_sku(spark):
+    # A has no snapshot; B's first snapshot is 4.0 -> A borrows it only in "global" scope
+    inv = [(D(2024, 1, 10), "B", 4.0, 0.0, 3.0, 1.0), (D(2024, 1, 17), "B", 6.0, 0.0, 3.0, 1.0)]
+    cleaned = _inputs(spark, inv=inv)
+    per_sku = features.build_weekly_features(cleaned, Params(), materialize=False)
+    assert {r[0] for r in rows(per_sku.where("sku_id = 'A'"), "on_hand_units")} == {None}
+    glob = features.build_weekly_features(cleaned, Params(fill_scope="global"), materialize=False)
+    assert {r[0] for r in rows(glob.where("sku_id = 'A'"), "on_hand_units")} == {4.0}
+    b = [r[0] for r in rows(glob.where("sku_id = 'B'").orderBy("week_start"), "on_hand_units")]
+    assert b == [4.0, 4.0, 6.0, 6.0, 6.0, 6.0]
