@@ -91,9 +91,9 @@ def filter_options(risk: DataFrame, categories=None) -> DataFrame:
 # ---------------------------------------------------------------- D4-D14
 def kpi_block(risk: DataFrame, metrics: DataFrame) -> DataFrame:
     """D4 (+P2): headline KPIs over the filtered portfolio."""
-    overall = metrics.where(F.col("scope") == "overall")
-    mw = overall.select(F.first("model_wape")).scalar()
-    bw = overall.select(F.first("baseline_wape")).scalar()
+    m = metrics.where(F.col("scope") == "overall").select(
+        F.struct(F.first("model_wape").alias("m"), F.first("baseline_wape").alias("b"))).scalar()
+    mw, bw = m["m"], m["b"]
     a = F.col("recommended_action")
     return risk.agg(
         mw.alias("model_wape"), bw.alias("baseline_wape"),
@@ -300,8 +300,8 @@ def segment_drill(customers: DataFrame, segment: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str] | None = None) -> DataFrame:
     """Equal-width bins between min and max; the maximum joins the last bin."""
-    lo = df.select(F.min(value)).scalar()
-    hi = df.select(F.max(value)).scalar()
+    b = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = b["lo"], b["hi"]
     x = F.col(value)
     raw = F.floor((x - lo) * bins / (hi - lo)).cast("int") + 1
     bucket = F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
@@ -602,9 +602,9 @@ def data_profile(weekly: DataFrame, customers: DataFrame, forecasts: DataFrame)
 
 def executive_summary(metrics: DataFrame, risk: DataFrame, customers: DataFrame) -> DataFrame:
     """The one-row executive summary (model quality, impact, counts)."""
-    overall = metrics.where(F.col("scope") == "overall")
-    mw = overall.select(F.first("model_wape")).scalar()
-    bw = overall.select(F.first("baseline_wape")).scalar()
+    m = metrics.where(F.col("scope") == "overall").select(
+        F.struct(F.first("model_wape").alias("m"), F.first("baseline_wape").alias("b"))).scalar()
+    mw, bw = m["m"], m["b"]
     a = F.col("recommended_action")
     return risk.agg(
         mw.alias("model_wape"), bw.alias("baseline_wape"),
