@@ -21,7 +21,7 @@ _SALES_SELECT = """
          {price} AS unit_price,
          l.l_discount >= 0.05 AS promo_flag,
          CAST(o.o_custkey AS VARCHAR) AS customer_id,
-         CAST(l.l_orderkey AS VARCHAR) AS order_id,
+         l.l_orderkey AS order_id,
          o.o_orderpriority AS sales_channel,
          r.r_name AS region,
          l.l_discount AS discount_pct,

@@ -83,7 +83,7 @@ def sales_daily(t: dict[str, DataFrame], grain: str = "brand_type") -> DataFrame
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         (F.col("l_discount") >= 0.05).alias("promo_flag"),
         F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_orderkey").alias("order_id"),
         F.col("o_orderpriority").alias("sales_channel"),
         F.col("r_name").alias("region"),
         F.col("l_discount").alias("discount_pct"),
@@ -110,7 +110,7 @@ def dirty_sales_daily(t: dict[str, DataFrame], grain: str = "brand_type") -> Dat
         F.when(k % 83 == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         (F.col("l_discount") >= 0.05).alias("promo_flag"),
         F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_orderkey").alias("order_id"),
         F.col("o_orderpriority").alias("sales_channel"),
         F.col("r_name").alias("region"),
         F.col("l_discount").alias("discount_pct"),
