@@ -57,7 +57,7 @@ def shared_context(spark: SparkSession, sf_dir: str, params: Params = Params())
     """
     key = (spark.sparkContext.applicationId, sf_dir, params)
     if key not in _CONTEXTS:
-        _CONTEXTS[key] = Context(spark, sf_dir, params)
+        _CONTEXTS[key] = Context(spark, sf_dir, params, persist_sales=True)
     return _CONTEXTS[key]
 
 

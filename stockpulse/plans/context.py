@@ -27,10 +27,14 @@ from stockpulse.sources import adapters
 
 
 class Context:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = Params()):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = Params(), persist_sales: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.params = params
+        # A long-lived context (many queries) writes the sales extract once:
+        # the weekly aggregate, the customer aggregate and the sales views
+        # then read that table instead of re-running the five-table join.
+        self.persist_sales = persist_sales
         ensure_checkpoint_dir(spark)
 
     @cached_property
@@ -39,7 +43,8 @@ class Context:
 
     @cached_property
     def sales_raw(self) -> DataFrame:
-        return adapters.sales_daily(self.tables, self.params.grain)
+        sales = adapters.sales_daily(self.tables, self.params.grain)
+        return materialize(sales, "sales") if self.persist_sales else sales
 
     @cached_property
     def sales_clean(self) -> DataFrame:
