@@ -86,8 +86,8 @@ def customer_segments(sales: DataFrame, num_partitions: int | None = None) -> Da
     base = rfm_base(sales)
     scored = rfm_scores(base, num_partitions)
     # maxima from the checkpointed scores: no second pass over the sales
-    max_rec = scored.select(F.max("recency_days")).scalar()
-    max_freq = scored.select(F.max("frequency")).scalar()
+    mx = scored.select(F.struct(F.max("recency_days").alias("r"), F.max("frequency").alias("f"))).scalar()
+    max_rec, max_freq = mx["r"], mx["f"]
     df = scored.withColumns({
         "segment": segment_label(),
         "return_rate": F.col("return_units") / (F.col("units") + F.col("return_units") + 1),     # R8
