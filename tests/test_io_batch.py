@@ -56,3 +56,8 @@ def test_batch_run_writes_every_output(spark, tmp_path):
     assert s["reorder_now_skus"] + s["markdown_clear_skus"] + s["watch_volatile_skus"] + s["healthy_skus"] == \
         risk.count()
     assert T is not None
+
+
+def test_plain_money_format(spark):
+    df = spark.createDataFrame([(1234.4,), (10349480.48,)], "x double")
+    assert [r[0] for r in df.select(fmt.money_plain("x")).collect()] == ["₹1,234", "₹10,349,480"]
