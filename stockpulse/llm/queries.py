@@ -34,3 +34,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_language_model(docs, train=fold != 2)
     return identify_languages(docs, model).select(
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "languages", "proportions")
+
+
+@query("op6_transducer_tokens")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the public 50k byte-level BPE."""
+    import public_tokenizers
+
+    from stockpulse.llm.tokens import count_tokens
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    return count_tokens(read_table(spark, sf_dir, "documents"), definition).select("doc_id", "n_bytes", "n_tokens", "over_limit")
