@@ -46,3 +46,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         definition = f.read()
     return count_tokens(read_table(spark, sf_dir, "documents"), definition).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op7_splitter_shards")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near-equal bytes."""
+    from stockpulse.llm.sharding import shard_by_bytes
+
+    placed = shard_by_bytes(read_table(spark, sf_dir, "documents"), n_shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"), "start")
