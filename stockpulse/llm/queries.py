@@ -56,3 +56,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(read_table(spark, sf_dir, "documents"), n_shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "start")
+
+
+@query("op5_randomness_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the fixed patterns, and strings that a randomness battery finds."""
+    from stockpulse.llm.secret_scan import scan_secrets
+
+    return scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
