@@ -65,3 +65,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+@query("op3_decision_list")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures of every document, and the verdict of the learned decision list."""
+    from stockpulse.llm.quality import apply_quality_rules
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged, _ = apply_quality_rules(docs, read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
