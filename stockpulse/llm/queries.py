@@ -75,3 +75,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     judged, _ = apply_quality_rules(docs, read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query("op4_lsh_forest_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by five-word shingle similarity of 0.8 or more, with the number of links."""
+    from stockpulse.llm.ngram_join import jaccard_classes
+
+    return jaccard_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
