@@ -53,3 +53,36 @@ def in_slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+@lru_cache(maxsize=1)
+def _spaces() -> np.ndarray:
+    return np.fromiter((chr(i).isspace() for i in range(0x3001)), bool, 0x3001)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def word_hashes(texts: list[str], alphanumeric: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in lower case, and each word's text number.
+
+    Words are split at white space, or are runs of letters and numbers.
+    """
+    lowered = [t.lower() for t in texts]
+    ends = np.cumsum([len(t) + 1 for t in lowered])
+    codes = code_points("\n" + "\n".join(lowered) + "\n")
+    if alphanumeric:
+        inside = category_table()[codes] > 0
+    else:
+        inside = ~_spaces()[np.minimum(codes, 0x3000)] | (codes > 0x3000)
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    first = np.flatnonzero(~inside[at - 1])
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    powers = np.cumprod(np.full(place.max() + 1, 0x9E3779B97F4A7C15, np.uint64))
+    h = np.add.reduceat(mix(codes[at].astype(np.uint64) + np.uint64(1)) * powers[place], first)
+    return mix(h), np.searchsorted(ends, at[first] - 1, side="right")

@@ -18,7 +18,6 @@ it is each node's number of links and a spanning forest, never the pairs.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 from typing import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import code_points, in_slices, with_outputs
+from stockpulse.llm.common import in_slices, mix, word_hashes
 from stockpulse.llm.graph import connected_components
 from stockpulse.session import materialize
 
@@ -44,33 +43,6 @@ def prefix_depth(threshold: float, recall: float, trees: int = TREES, full_depth
     return depth
 
 
-@lru_cache(maxsize=1)
-def _spaces() -> np.ndarray:
-    return np.fromiter((chr(i).isspace() for i in range(0x3001)), bool, 0x3001)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, and each word's text number."""
-    lowered = [t.lower() for t in texts]
-    ends = np.cumsum([len(t) + 1 for t in lowered])
-    codes = code_points("\n" + "\n".join(lowered) + "\n")
-    inside = ~_spaces()[np.minimum(codes, 0x3000)] | (codes > 0x3000)
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    first = np.flatnonzero(~inside[at - 1])
-    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-    powers = np.cumprod(np.full(place.max() + 1, 0x9E3779B97F4A7C15, np.uint64))
-    h = np.add.reduceat(_mix(codes[at].astype(np.uint64) + np.uint64(1)) * powers[place], first)
-    return _mix(h), np.searchsorted(ends, at[first] - 1, side="right")
-
-
 def shingle_sets(texts: list[str], width: int = 5) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text; empty for a text without words."""
     out: list[np.ndarray] = []
@@ -83,8 +55,8 @@ def shingle_sets(texts: list[str], width: int = 5) -> list[np.ndarray]:
             n = max(1, len(w) - width + 1) if len(w) else 0
             h = np.zeros(n, np.uint64)
             for i in range(min(width, len(w))):
-                h += _mix(w[i:i + n] * odd[i])
-            out.append(np.unique(_mix(h)))
+                h += mix(w[i:i + n] * odd[i])
+            out.append(np.unique(mix(h)))
     return out
 
 
@@ -99,7 +71,7 @@ def _prefixes(sets: list[np.ndarray], depth: int, trees: int) -> np.ndarray:
     for t in range(trees):
         h = np.full(len(sets), t + 1, np.uint64)
         for i in range(t * depth, (t + 1) * depth):
-            h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat((flat * mul[i] + add[i]) >> np.uint64(20), starts))
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat((flat * mul[i] + add[i]) >> np.uint64(20), starts))
         out[:, t] = h
     return out
 

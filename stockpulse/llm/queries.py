@@ -83,3 +83,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockpulse.llm.ngram_join import jaccard_classes
 
     return jaccard_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
+
+
+@query("op10_benchmark_wand")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and benchmark items that they leak."""
+    from stockpulse.llm.decontaminate import match_benchmark
+
+    found = match_benchmark(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select(
+        "doc_id", F.col("m.item").alias("item_id"), F.col("m.score").alias("score"),
+        F.col("m.question").alias("question_overlap"), F.col("m.answer").alias("answer_overlap"))
