@@ -94,3 +94,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("matches").alias("m")).select(
         "doc_id", F.col("m.item").alias("item_id"), F.col("m.score").alias("score"),
         F.col("m.question").alias("question_overlap"), F.col("m.answer").alias("answer_overlap"))
+
+
+@query("op8_string_kernel_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled ones whose key's crc32 mod 5 is not 0."""
+    from stockpulse.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = key_crc32("doc_id") % 5
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"), train=fold != 0)
+    return score_toxicity(docs, model).select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted", "n_suspect_sentences")
