@@ -3,13 +3,13 @@
 Two strings are alike if they share subsequences of three letters; a
 subsequence counts ``DECAY ** span`` for the stretch it covers (at most
 ``MAX_SPAN`` letters), so gaps and inserted letters cost little.  Features are
-explicit: the kernel is an inner product of sparse vectors.  Landmarks are
-words that stand out in toxic sample texts.  A sentence is described by its
+explicit: the kernel is an inner product of sparse vectors (with marks at both
+ends of a word), normalised and raised to ``POWER``.  Landmarks are words that stand out in toxic sample texts.  A sentence is described by its
 words' largest kernel values with every landmark (values below ``FLOOR``
 count as 0), mapped by the Nystroem factor of the landmarks' kernel matrix.  A
 linear machine with squared hinge loss is trained on sentences: all of
-untoxic texts, and of a toxic text the one that looks worst so far.  A text's
-margin is that of its worst sentence, made a probability by a logistic fit.
+untoxic texts, and of a toxic text those that look toxic so far (one at
+least).  A text's margin is that of its worst sentence, made a probability by a logistic fit.
 
 Learning uses a bounded sample: ``max_docs`` labelled texts a class are
 expected, with at most ``SENTENCES`` sentences of each in training.  Scoring
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from stockpulse.llm.common import uniform, with_outputs
 from stockpulse.session import materialize
 
-DECAY, MAX_SPAN, FLOOR = 0.75, 6, 0.5
+DECAY, MAX_SPAN, FLOOR, POWER = 0.75, 6, 0.45, 2
 FEATURE_BITS = 16
 SENTENCES = 8
 MAX_KNOWN = 400_000
@@ -41,8 +41,8 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, feature, weight) of all three-letter subsequences within ``MAX_SPAN`` letters."""
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    of = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
     parts = []
     for j in range(1, MAX_SPAN - 1):
         for k in range(j + 1, MAX_SPAN):
@@ -81,7 +81,7 @@ class Kernel:
         if len(of):
             first = np.flatnonzero(np.diff(of, prepend=-1))
             out[of[first]] = np.add.reduceat(self.table[f] * w[:, None].astype(np.float32), first, axis=0)
-        return np.where(out >= FLOOR, out, 0)
+        return np.where(out >= FLOOR, out, 0) ** POWER
 
     def learn(self, tokens: list[str]) -> None:
         """Remember the values of new tokens; None for those that resemble no landmark."""
@@ -160,10 +160,10 @@ def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of P(toxic | margin); targets are drawn in a little, and the classes weigh alike."""
+    """Slope and offset of P(toxic | margin); targets are drawn in a little."""
     n1, n0 = y.sum(), (~y).sum()
     t = np.where(y, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    weight = np.where(y, 0.5 / n1, 0.5 / n0)
+    weight = np.full(len(y), 1 / len(y))
     a = np.array([1.0, 0.0])
     x = np.stack([m, np.ones_like(m)], axis=1)
     for _ in range(100):
@@ -176,8 +176,28 @@ def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a[0]), float(a[1])
 
 
+def train_machine(names: list[str], bags: list[np.ndarray], y: np.ndarray, cost: float) -> ToxicityModel:
+    """The machine for sentences' kernel values with the landmarks (one array a text), and each text's class."""
+    gram = Kernel(names).values(names).astype(np.float64)
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    factor = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
+    x = [b @ factor for b in bags]
+    used = [np.ones(len(b), bool) for b in x]
+    for _ in range(6):  # the machine, and the sentences that make the toxic texts toxic, in turn
+        rows = [b[u] for b, u in zip(x, used)]
+        size = np.array([len(r) for r in rows])
+        w = _svm(np.concatenate(rows), np.repeat(np.where(y, 1.0, -1.0), size), np.repeat(cost / np.sqrt(size), size))
+        margin = [b @ w[:-1] + w[-1] for b in x]
+        new = [(m > 0) | (m == m.max()) if toxic else u for m, u, toxic in zip(margin, used, y)]
+        if all((n == u).all() for n, u in zip(new, used)):
+            break
+        used = new
+    slope, offset = _logistic(np.array([(b @ w[:-1]).max() + w[-1] for b in x]), y)
+    return ToxicityModel(tuple(names), factor @ w[:-1], float(w[-1]), slope, offset)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, text: str = "text", key: str = "doc_id",
-                 label: str = "toxic", max_docs: int = 2000, landmarks: int = 96, cost: float = 10.0, seed: int = 8) -> ToxicityModel:
+                 label: str = "toxic", max_docs: int = 2000, landmarks: int = 96, cost: float = 3.0, seed: int = 8) -> ToxicityModel:
     """Learn from the labelled rows that satisfy ``train`` (a condition on the key).
 
     Keys with conflicting labels, null keys and other labels than 0 and 1 are
@@ -225,26 +245,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
             yield pd.DataFrame(rows, columns=["k", "y", "v"])
 
     bags = sorted(sample.mapInPandas(describe, "k string, y int, v array<array<float>>").collect(), key=lambda r: (r["k"], r["v"]))
-    kernel = Kernel(names)
-    gram = kernel.values(names).astype(np.float64)
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
-    factor = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
-    x = [np.array(r["v"]) @ factor for r in bags]
-    y = np.array([r["y"] == 1 for r in bags])
-    worst = [int(np.argmax(np.array(r["v"]).sum(axis=1))) for r in bags]
-    for _ in range(4):  # the machine and the toxic texts' worst sentences in turn
-        rows = [b[[w]] if toxic_ else b for b, w, toxic_ in zip(x, worst, y)]
-        size = np.array([len(r) for r in rows])
-        sign = np.repeat(np.where(y, 1.0, -1.0), size)
-        balance = np.repeat(np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum()) / size, size)
-        w = _svm(np.concatenate(rows), sign, cost * len(sign) * balance / 2)
-        new = [int(np.argmax(b @ w[:-1])) for b in x]
-        if new == worst:
-            break
-        worst = new
-    margins = np.array([(b @ w[:-1]).max() + w[-1] for b in x])
-    slope, offset = _logistic(margins, y)
-    return ToxicityModel(tuple(names), factor @ w[:-1], float(w[-1]), slope, offset)
+    return train_machine(names, [np.array(r["v"]) for r in bags], np.array([r["y"] == 1 for r in bags]), cost)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
