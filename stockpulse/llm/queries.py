@@ -105,3 +105,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = key_crc32("doc_id") % 5
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"), train=fold != 0)
     return score_toxicity(docs, model).select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted", "n_suspect_sentences")
+
+
+#: Target weights of the mix: languages inside every domain, and the domains (a source's number decides its domain).
+DOMAINS = {"web": 3.0, "books": 1.0, "forums": 2.0, "reference": 2.0}
+LANGUAGES = {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0}
+
+
+def source_domain():
+    number = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(0))
+    return F.get(F.array(*[F.lit(d) for d in DOMAINS]), number % len(DOMAINS))
+
+
+def mix_weights() -> dict:
+    return {**{(d,): w for d, w in DOMAINS.items()}, **{(d, lang): w for d in DOMAINS for lang, w in LANGUAGES.items()}}
+
+
+@query("op2_hierarchical_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epochs in which every document is taken, for a mix of as many tokens as the table holds."""
+    from stockpulse.llm.mixing import mix_to_budget
+
+    docs = read_table(spark, sf_dir, "documents")
+    return mix_to_budget(docs, weights=mix_weights(), domain=source_domain()).select("doc_id", "lang", "source", "n_tokens", "leaf_budget", "copies")
