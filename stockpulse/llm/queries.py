@@ -128,3 +128,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read_table(spark, sf_dir, "documents")
     return mix_to_budget(docs, weights=mix_weights(), domain=source_domain()).select("doc_id", "lang", "source", "n_tokens", "leaf_budget", "copies")
+
+
+@query("op9_fuzzy_lines")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that go because a like line stands elsewhere."""
+    from stockpulse.llm.lines import dedup_lines
+
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_kept", "dropped_lines")
