@@ -27,13 +27,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import uniform, with_outputs
+from stockpulse.llm.common import code_points, in_slices, uniform, with_outputs
 from stockpulse.session import materialize
 
 DECAY, MAX_SPAN, FLOOR, POWER = 0.75, 6, 0.45, 2
 FEATURE_BITS = 16
 SENTENCES = 8
-MAX_KNOWN = 400_000
+MAX_KNOWN = 600_000
+SLICE_CHARS = 1 << 20
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[ \t][^\W\d_](?!\S)){3,}")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -69,61 +70,96 @@ class Kernel:
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
-        self.table = np.zeros((1 << FEATURE_BITS, len(landmarks)), np.float32)
         of, f, w = _vectors(landmarks)
-        self.table[f, of] = w
-        self.largest = self.table.max(axis=1)
-        self.known: dict[str, np.ndarray | None] = {}
+        order = np.argsort(f, kind="stable")
+        # inverted lists: for every feature the landmarks that have it, with their weights
+        self.owner, self.weight = of[order], w[order]
+        self.begin = np.searchsorted(f[order], np.arange((1 << FEATURE_BITS) + 1))
+        self.largest = np.zeros(1 << FEATURE_BITS)
+        np.maximum.at(self.largest, f, w)
+        self.near: dict[str, np.ndarray] = {}  # tokens that resemble a landmark
+        self.far: set[str] = set()             # tokens that don't
 
     def values(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.landmarks)), np.float32)
         of, f, w = _vectors(words)
-        if len(of):
-            first = np.flatnonzero(np.diff(of, prepend=-1))
-            out[of[first]] = np.add.reduceat(self.table[f] * w[:, None].astype(np.float32), first, axis=0)
+        shared = self.largest[f] > 0
+        of, f, w = of[shared], f[shared], w[shared]
+        size = self.begin[f + 1] - self.begin[f]
+        at = np.repeat(self.begin[f] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        m = len(self.landmarks)
+        out = np.bincount(np.repeat(of, size) * m + self.owner[at], weights=np.repeat(w, size) * self.weight[at], minlength=len(words) * m)
+        out = out.reshape(len(words), m).astype(np.float32)
         return np.where(out >= FLOOR, out, 0) ** POWER
 
     def learn(self, tokens: list[str]) -> None:
-        """Remember the values of new tokens; None for those that resemble no landmark."""
-        if len(self.known) > MAX_KNOWN:
-            self.known.clear()
-        self.known.update(dict.fromkeys(tokens))
+        """Remember which tokens resemble a landmark, with their values."""
+        if len(self.far) + len(self.near) > MAX_KNOWN:
+            self.far.clear()
+            self.near.clear()
+        self.far.update(tokens)
         owner, words = [], []
         for t in tokens:
-            parts = [p for p in NOT_LETTERS.split(t) if p]
-            for w in {"".join(parts), *parts}:
+            if t.isalpha():
+                parts = (t,)
+            else:
+                parts = [p for p in NOT_LETTERS.split(t) if p]
+                parts = {"".join(parts), *parts}
+            for w in parts:
                 if len(w) >= 3:
                     owner.append(t)
                     words.append(w)
-        if not words:
-            return
+        for lo in range(0, len(words), 20_000):  # bounds the features held at once
+            self._compare(owner[lo:lo + 20_000], words[lo:lo + 20_000])
+
+    def _compare(self, owner: list[str], words: list[str]) -> None:
         # no kernel value exceeds this bound, which rules most words out with one number a feature
         of, f, w = subsequences(words)
         top = np.bincount(of, weights=w * self.largest[f], minlength=len(words))
-        near = np.flatnonzero(top >= FLOOR * np.sqrt(np.bincount(of, weights=w * w, minlength=len(words))) - 1e-6)
-        if len(near):
-            for i, v in zip(near, self.values([words[i] for i in near])):
+        close = np.flatnonzero(top >= FLOOR * np.sqrt(np.bincount(of, weights=w * w, minlength=len(words))) - 1e-6)
+        for lo in range(0, len(close), 2_000):
+            some = close[lo:lo + 2_000]
+            for i, v in zip(some, self.values([words[i] for i in some])):
                 if v.any():
-                    old = self.known[owner[i]]
-                    self.known[owner[i]] = v if old is None else np.maximum(old, v)
-
-    def sentences(self, text: str) -> np.ndarray:
-        """A row for each sentence with a word near a landmark: its words' largest kernel values."""
-        text = SPACED.sub(lambda m: re.sub(r"\s", "", m[0]), text.lower())
-        tokens = set(text.split())
-        new = tokens.difference(self.known)
-        if new:
+                    t = owner[i]
+                    self.near[t] = np.maximum(v, self.near[t]) if t in self.near else v
+                    self.far.discard(t)
+
+    def sentences(self, texts: list[str]) -> list[np.ndarray]:
+        """For every text, a row for each sentence with a word near a landmark: its words' largest kernel values."""
+        out = [np.zeros((0, len(self.landmarks)), np.float32)] * len(texts)
+        for a, b in in_slices(texts, SLICE_CHARS):
+            some = [t.lower() for t in texts[a:b]]
+            for i in spaced_out(some):
+                some[i] = SPACED.sub(lambda m: re.sub(r"\s", "", m[0]), some[i])
+            tokens = [set(t.split()) for t in some]
+            new = set().union(*tokens) - self.far - self.near.keys()
+            if len(self.far) + len(self.near) + len(new) > MAX_KNOWN:
+                self.far.clear()
+                self.near.clear()
+                new = set().union(*tokens)
             self.learn(sorted(new))
-            tokens = tokens if len(new) < len(tokens) else new
-        known = self.known
-        if all(known.get(t) is None for t in tokens):
-            return np.zeros((0, len(self.landmarks)), np.float32)
-        rows = []
-        for s in SENTENCE.split(text):
-            hits = [v for v in map(known.get, s.split()) if v is not None]
-            if hits:
-                rows.append(np.max(hits, axis=0))
-        return np.array(rows, np.float32).reshape(-1, len(self.landmarks))
+            for i, (t, own) in enumerate(zip(some, tokens)):
+                if self.near.keys().isdisjoint(own):
+                    continue
+                rows = []
+                for s in SENTENCE.split(t):
+                    hits = [v for v in map(self.near.get, s.split()) if v is not None]
+                    if hits:
+                        rows.append(np.max(hits, axis=0))
+                if rows:
+                    out[a + i] = np.array(rows, np.float32)
+        return out
+
+
+def spaced_out(texts: list[str]) -> list[int]:
+    """Numbers of the texts with three single characters in a row between white space."""
+    codes = code_points("\n".join(texts))
+    blank = (codes <= 32) & (codes > 0)
+    at = np.flatnonzero(blank[:-6] & blank[2:-4] & blank[4:-2] & blank[6:] & ~blank[1:-5] & ~blank[3:-3] & ~blank[5:-1]) if len(codes) > 6 else ()
+    # four letters in a row have three with blanks on both sides, unless they begin or end the text
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    found = set(np.searchsorted(ends, at, side="right").tolist())
+    return sorted(found | {i for i, t in enumerate(texts) if len(t) < 12 or SPACED.match(t) or SPACED.search(t, max(0, len(t) - 9))})
 
 
 @dataclass(frozen=True)
@@ -239,7 +275,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
         for batch in batches:
             rows = []
             for k, t, y in zip(batch["_key"], batch["text"], batch["y"]):
-                found = np.unique(kernel.sentences(t), axis=0)
+                found = np.unique(kernel.sentences([t])[0], axis=0)
                 found = found[np.argsort(-found.max(axis=1), kind="stable")[:SENTENCES]] if len(found) else np.zeros((1, len(names)), np.float32)
                 rows.append((str(k), y, found.tolist()))
             yield pd.DataFrame(rows, columns=["k", "y", "v"])
@@ -263,8 +299,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
         kernel = Kernel(list(m.landmarks)) if m.landmarks else None
         for batch in batches:
             margins, suspects = np.full(len(batch), m.bias), np.zeros(len(batch), np.int64)
-            for i, t in enumerate(batch):
-                found = kernel.sentences(t) if kernel and t else ()
+            described = kernel.sentences([t if t is not None else "" for t in batch]) if kernel else ()
+            for i, found in enumerate(described):
                 if len(found):
                     margin = found @ m.weights + m.bias
                     margins[i], suspects[i] = margin.max(), (margin > 0).sum()
