@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, coerce_bool, coerce_date, coerce_double, with_defaults
+from stockpulse.functions.ranking import exact_median
 from stockpulse.sources.io import ORD
 
 # Defaults for optional columns.
@@ -26,12 +27,20 @@ SALES_DEFAULTS = {
     "stockout_flag": False,
 }
 INVENTORY_DEFAULTS = {"warehouse_zone": "Unknown", "damaged_units": 0, "reserved_units": 0}
+# The columns that are coerced to numbers.
 NUMERIC_SALES = ["units_sold", "revenue", "unit_price", "discount_pct", "ad_spend", "page_views", "return_units"]
 NUMERIC_SKU = ["unit_cost", "list_price", "target_margin"]
 NUMERIC_INVENTORY = ["on_hand_units", "on_order_units", "lead_time_days", "reorder_point",
                      "damaged_units", "reserved_units"]
 
 
+def need_order(df: DataFrame) -> DataFrame:
+    """Keep-last has no meaning without the file order."""
+    if ORD not in df.columns:
+        raise ValueError(f"the column {ORD!r} (file order) is needed; read the extract with sources.io.read_extract")
+    return df
+
+
 def keep_last(df: DataFrame, keys: list[str], order_col: str = ORD) -> DataFrame:
     """C4: one row per key, the one latest in ``order_col`` (file order)."""
     others = [c for c in df.columns if c not in keys]
@@ -60,24 +69,20 @@ def clean_sales(sales: DataFrame) -> DataFrame:
                                                              "discount_pct")})
 
 
-def clean_sku(sku: DataFrame, median_scope: DataFrame | None = None) -> DataFrame:
-    df = sku if ORD in sku.columns else sku.withColumn(ORD, F.monotonically_increasing_id())
+def clean_sku(sku: DataFrame) -> DataFrame:
+    df = need_order(sku)
     df = df.withColumn("launch_date", coerce_date(df, "launch_date"))          # C1
     df = df.dropna(subset=["sku_id", "category"])                              # C2
     df = keep_last(df, ["sku_id"])                                             # C4
     present = [c for c in NUMERIC_SKU if c in df.columns]
     df = df.withColumns({c: coerce_double(df, c) for c in present})            # C9
-    # Global medians, as scalar subqueries (no join, no driver round trip)
-    med = df.select(F.median("unit_cost").alias("c"), F.median("list_price").alias("p"))
-    df = df.withColumns({
-        "unit_cost": F.coalesce(F.col("unit_cost"), med.select("c").scalar()),
-        "list_price": F.coalesce(F.col("list_price"), med.select("p").scalar()),
-    })
+    # Global medians, as scalar subqueries
+    df = df.withColumns({c: F.coalesce(F.col(c), exact_median(df, c)) for c in ("unit_cost", "list_price")})
     return df.drop(ORD)
 
 
 def clean_calendar(cal: DataFrame) -> DataFrame:
-    df = cal if ORD in cal.columns else cal.withColumn(ORD, F.monotonically_increasing_id())
+    df = need_order(cal)
     df = df.withColumn("date", coerce_date(df, "date"))                        # C1
     df = df.dropna(subset=["date"])                                            # C2
     df = keep_last(df, ["date"])                                               # C4
@@ -92,7 +97,7 @@ def clean_calendar(cal: DataFrame) -> DataFrame:
 
 
 def clean_inventory(inv: DataFrame) -> DataFrame:
-    df = inv if ORD in inv.columns else inv.withColumn(ORD, F.monotonically_increasing_id())
+    df = need_order(inv)
     df = df.withColumn("date", coerce_date(df, "date"))                        # C1
     df = df.dropna(subset=["date", "sku_id"])                                  # C2
     df = keep_last(df, ["date", "sku_id"])                                     # C4
@@ -103,12 +108,3 @@ def clean_inventory(inv: DataFrame) -> DataFrame:
     df = with_defaults(df, INVENTORY_DEFAULTS)                                 # C13
     df = df.withColumns({c: coerce_double(df, c) for c in ("damaged_units", "reserved_units")})
     return df.drop(ORD)
-
-
-def clean_data(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "sales_daily": clean_sales(raw["sales_daily"]),
-        "sku_master": clean_sku(raw["sku_master"]),
-        "calendar": clean_calendar(raw["calendar"]),
-        "inventory_snapshots": clean_inventory(raw["inventory_snapshots"]),
-    }

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip01, safe_div
-from stockpulse.functions.ranking import global_row_number, qcut_bucket
+from stockpulse.functions.ranking import bucket_by_edges, qcut_ranks, rank_edges
 from stockpulse.session import materialize as materialize_table
 
 SEGMENT_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "units", "rfm_score", "segment",
@@ -37,7 +37,8 @@ def rfm_base(sales: DataFrame, materialize: bool = True) -> DataFrame:
     agg = (sales.groupBy("customer_id")
                 .agg(F.max("date").alias("last_purchase"),
                      freq.alias("frequency"),
-                     F.sum("revenue").alias("monetary"),
+                     # whole cents: the sum does not depend on the order of the rows
+                     (F.sum(F.round(F.col("revenue") * 100).cast("bigint")) / 100).alias("monetary"),
                      F.sum("units_sold").alias("units"),
                      F.avg("discount_pct").alias("avg_discount"),
                      F.sum("return_units").alias("return_units")))
@@ -57,21 +58,24 @@ def _empty_base(sales: DataFrame) -> DataFrame:
 
 
 def rfm_scores(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """First-come ranks cut into quintiles; composite score."""
-    df = global_row_number(base, ["recency_days", "customer_id"], "_rr", num_partitions, total_col="_n")
-    df = global_row_number(df, ["frequency", "customer_id"], "_rf", num_partitions)
-    df = global_row_number(df, ["monetary", "customer_id"], "_rm", num_partitions)
-    df = df.withColumns({
-        "r_score": (F.lit(6) - qcut_bucket("_rr", "_n")).cast("int"),
-        "f_score": qcut_bucket("_rf", "_n"),
-        "m_score": qcut_bucket("_rm", "_n"),
-    })
-    df = df.withColumn("rfm_score", (F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score")).cast("int"))
-    return df.drop("_n", "_rr", "_rf", "_rm")
+    """First-come ranks cut into quintiles; composite score.
+
+    A quintile is decided by four edge rows a measure, so the customer table
+    itself is neither ranked nor rewritten: the narrow (measure, customer)
+    columns are ranked, twelve rows come back, and labels are comparisons.
+    """
+    ranks = qcut_ranks(base.count())
+    buckets = {}
+    for name, measure in (("r", "recency_days"), ("f", "frequency"), ("m", "monetary")):
+        edges = rank_edges(base, measure, "customer_id", sorted(set(ranks))) if ranks and base.take(1) else []
+        by_rank = dict(zip(sorted(set(ranks)), edges))
+        buckets[name] = bucket_by_edges(measure, "customer_id", [by_rank[r] for r in ranks if r in by_rank])
+    df = base.withColumns({"r_score": (F.lit(6) - buckets["r"]).cast("int"), "f_score": buckets["f"], "m_score": buckets["m"]})
+    return df.withColumn("rfm_score", (F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score")).cast("int"))
 
 
 def segment_label():
-    """First matching rule wins."""
+    """First matching rule wins (labels and bounds are fixed values)."""
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return (F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
              .when((r >= 3) & (f >= 4), "Loyal Customers")

@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, safe_div, week_floor
+from stockpulse.functions.ranking import exact_median
 from stockpulse.params import Params
 from stockpulse.session import materialize as materialize_table
 
+MAX_WEEKS = 52 * 100   # a longer range means a broken date, which would multiply the spine
+# The measures that are zero in weeks without sales, the snapshot columns, the rolling statistics.
 SALES_MEASURES_ZERO_FILL = ["units_sold", "revenue", "promo_days", "avg_discount", "ad_spend", "page_views",
                             "return_units", "stockout_days", "unique_customers"]
 INVENTORY_COLS = ["on_hand_units", "on_order_units", "lead_time_days", "reorder_point", "damaged_units",
@@ -39,7 +42,7 @@ def weekly_sales(sales: DataFrame, with_date_bounds: bool = False) -> DataFrame:
     return (sales.withColumn("week_start", week_floor("date"))
                  .groupBy("sku_id", "week_start")
                  .agg(*extra, F.sum("units_sold").alias("units_sold"),
-                      F.sum("revenue").alias("revenue"),
+                      (F.sum(F.round(F.col("revenue") * 100).cast("bigint")) / 100).alias("revenue"),  # whole cents
                       F.avg("unit_price").alias("avg_unit_price"),
                       F.sum(F.col("promo_flag").cast("int")).alias("promo_days"),
                       F.avg("discount_pct").alias("avg_discount"),
@@ -83,7 +86,10 @@ def dense_spine(sku: DataFrame, ws: DataFrame) -> DataFrame:
     (sku ids are unique after cleaning).
     """
     lo, hi = week_bounds(ws)
-    return sku.withColumn("week_start", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))))
+    weeks = F.datediff(hi, lo) / 7
+    message = F.concat(F.lit(f"the sales span more than {MAX_WEEKS} weeks: "), lo.cast("string"), F.lit(" to "), hi.cast("string"))
+    last = F.when(weeks <= MAX_WEEKS, hi).otherwise(F.raise_error(message).cast("date"))
+    return sku.withColumn("week_start", F.explode(F.sequence(lo, last, F.expr("INTERVAL 7 DAYS"))))
 
 
 def reindexed(spine: DataFrame, ws: DataFrame) -> DataFrame:
@@ -100,8 +106,7 @@ def joined_week(cleaned: dict[str, DataFrame], ws: DataFrame | None = None) -> D
     wc = weekly_calendar(cleaned["calendar"])
     wi = latest_snapshot(cleaned["inventory_snapshots"])
     df = reindexed(dense_spine(cleaned["sku_master"], ws), ws)
-    # The weekly calendar has one row per week of the calendar's date range,
-    # independent of the sales volume: a bounded broadcast.
+    # one row per week of a checked date range (MAX_WEEKS): a bounded broadcast
     df = df.join(F.broadcast(wc), "week_start", "left")
     return df.join(wi, ["sku_id", "week_start"], "left")
 
@@ -127,18 +132,22 @@ def _borrow_next_sku(df: DataFrame, cols: list[str]) -> DataFrame:
     """Literal un-grouped back fill: a SKU with no snapshot at all takes the
     first snapshot of the next SKU (in sku_id order) that has one.
 
-    Works on the SKU-level table (one row per SKU): first values per SKU,
-    then an ordered running scan over SKUs finds the next SKU with data.
-    This opt-in literal mode orders all SKUs in one window; the default
-    per-SKU scope has no such step.
+    SKUs are range-partitioned by id.  Inside a partition a running scan over
+    the reversed order carries the next first snapshot down; what a partition
+    ends with comes from the nearest later partition that has any, a table
+    with one row per partition.
     """
-    firsts = (df.where(F.col("on_hand_units").isNotNull() | F.col("warehouse_zone").isNotNull())
-                .groupBy("sku_id")
-                .agg(F.min_by(F.struct(*cols), F.col("week_start")).alias("_f")))
-    skus = df.select("sku_id").distinct().join(firsts, "sku_id", "left")
-    # running frame over the reversed SKU order (linear); one row per SKU
-    nxt = Window.orderBy(F.desc("sku_id")).rowsBetween(Window.unboundedPreceding, 0)
-    borrowed = skus.select("sku_id", F.last("_f", ignorenulls=True).over(nxt).alias("_b"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    has = F.col("on_hand_units").isNotNull() | F.col("warehouse_zone").isNotNull()
+    skus = (df.groupBy("sku_id").agg(F.min_by(F.when(has, F.struct(*cols)), F.when(has, F.col("week_start"))).alias("_f"))
+              .repartitionByRange(n, "sku_id").withColumn("_pid", F.spark_partition_id()))
+    skus = materialize_table(skus, "first-snapshots")
+    later = Window.orderBy(F.desc("_pid")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = skus.groupBy("_pid").agg(F.min_by("_f", F.when(F.col("_f").isNotNull(), F.col("sku_id"))).alias("_p"))
+    carry = carry.select("_pid", F.last("_p", ignorenulls=True).over(later).alias("_c"))  # one row per partition
+    inside = Window.partitionBy("_pid").orderBy(F.desc("sku_id")).rowsBetween(Window.unboundedPreceding, 0)
+    borrowed = (skus.join(F.broadcast(carry), "_pid")
+                    .select("sku_id", F.coalesce(F.last("_f", ignorenulls=True).over(inside), "_c").alias("_b")))
     out = df.join(borrowed, "sku_id", "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col("_b")[c]) for c in cols})
     return out.drop("_b")
@@ -224,8 +233,8 @@ def build_weekly_features(cleaned: dict[str, DataFrame], params: Params = Params
         df = materialize_table(df, "weekly-pre-fill")
     # Global scalars over the dense table (mean and median of weekly units)
     # as scalar subqueries over the materialized table.
-    stats = df.select(F.struct(F.avg("units_sold").alias("mean"), F.median("units_sold").alias("median"))).scalar()
-    mean_units, median_units = stats["mean"], stats["median"]
+    mean_units = df.select(F.avg("units_sold")).scalar()
+    median_units = exact_median(df, "units_sold")
     df = sell_through_cover(df, mean_units)
     fill_cols = [f"lag_{k}" for k in params.lags] + ROLLING_COLS
     df = calendar_fallbacks(median_fill(df, fill_cols, median_units))

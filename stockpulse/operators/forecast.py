@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import bias, clip, coerce_double, mae, nan_to_null, wape
-from stockpulse.params import Params
+from stockpulse.params import LAGS, Params
 
 # Model inputs.
 NUMERIC_FEATURES = [
@@ -38,7 +38,8 @@ TARGET = "units_sold"
 LEAK_FREE_NUMERIC = [c for c in NUMERIC_FEATURES
                      if c not in ("sell_through_proxy", "page_views", "ad_spend", "stockout_days")]
 INTERVAL_Z = 1.28
-HISTORY_DEPTH = 52
+MAX_FEATURES, MAX_LABELS = 4_000, 100_000   # what the solver takes; what is held on the driver
+ROLLING_DEPTH = 13
 FORECAST_COLUMNS = [
     "sku_id", "sku_name", "category", "subcategory", "week_start", "horizon_week", "forecast_units",
     "forecast_lower_80", "forecast_upper_80", "baseline_forecast", "avg_unit_price", "unit_cost", "list_price",
@@ -62,6 +63,14 @@ def prepare(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
+def check_lags(params: Params) -> Params:
+    """The seasonal baseline reads a lag column, and falls back to lag 4."""
+    missing = {params.seasonal_lag_weeks, 4} - set(params.lags)
+    if missing:
+        raise ValueError(f"lags must hold {sorted(missing)}: the baseline reads them")
+    return params
+
+
 def test_start(weekly: DataFrame, horizon: int) -> Column:
     last = weekly.select(F.max("week_start")).scalar()
     return F.date_sub(last, 7 * (horizon - 1))
@@ -134,17 +143,37 @@ def _lag_or_mean(a: Column, k: int) -> Column:
     return F.when(F.size(a) >= k, F.element_at(a, -k)).otherwise(_mean_tail(a, k))
 
 
-def future_frame(prepared: DataFrame, horizon: int) -> DataFrame:
+def rollout_lags(a: Column, lags) -> dict[str, Column]:
+    """Lag columns from the history array; fallbacks where the history is shorter.
+
+    Lag 2 falls back to lag 1, seasonal lags (a year or longer) to lag 4, the
+    others to the mean of what there is.
+    """
+    out = {}
+    for k in lags:
+        if k == 1:
+            out["lag_1"] = F.when(F.size(a) >= 1, F.element_at(a, -1)).otherwise(F.lit(0.0))
+        elif k == 2:
+            out["lag_2"] = F.when(F.size(a) >= 2, F.element_at(a, -2)).when(F.size(a) >= 1, F.element_at(a, -1)).otherwise(F.lit(0.0))
+        elif k >= 52:
+            out[f"lag_{k}"] = F.when(F.size(a) >= k, F.element_at(a, -k)).otherwise(_lag_or_mean(a, 4))
+        else:
+            out[f"lag_{k}"] = _lag_or_mean(a, k)
+    return out
+
+
+def future_frame(prepared: DataFrame, horizon: int, lags=LAGS) -> DataFrame:
     """One row per SKU and horizon week with rolled-out lags.
 
     Each step appends the mean of the last four values (never a model
-    prediction), so the recurrence is closed and needs only the last 52
-    weekly values of each SKU.
+    prediction), so the recurrence is closed and needs only as many weekly
+    values of each SKU as the longest lag reaches back.
     """
+    depth = max(*lags, ROLLING_DEPTH)
     last_week = prepared.select(F.max("week_start")).scalar()
     recent = Window.partitionBy("sku_id").orderBy(F.desc("week_start"))
     per_sku = (prepared.withColumn("_r", F.row_number().over(recent))
-                       .where(F.col("_r") <= HISTORY_DEPTH)
+                       .where(F.col("_r") <= depth)
                        .groupBy("sku_id")
                        .agg(F.max_by(F.struct(*[c for c in prepared.columns if c != "sku_id"]),
                                      F.col("week_start")).alias("_last"),
@@ -160,8 +189,6 @@ def future_frame(prepared: DataFrame, horizon: int) -> DataFrame:
     base_cols = [F.col("_last")[c].alias(c) for c in prepared.columns if c != "sku_id"]
     df = df.select("sku_id", "horizon_week", a.alias("_a"), ws.alias("_ws"), *base_cols)
     a = F.col("_a")
-    lag1 = F.when(F.size(a) >= 1, F.element_at(a, -1)).otherwise(F.lit(0.0))
-    lag4 = _lag_or_mean(a, 4)
     m = F.month("_ws")
     df = df.withColumns({
         "week_start": F.col("_ws"),
@@ -170,13 +197,7 @@ def future_frame(prepared: DataFrame, horizon: int) -> DataFrame:
         "promo_days": F.when(m.isin(10, 11, 12), 1.0).otherwise(0.0),
         "campaign_intensity": F.when(m.isin(10, 11), 3.0).when(m.isin(6, 7, 12), 1.0).otherwise(0.0),
         "holiday_days": F.when(m.isin(8, 10, 12, 1) & (F.col("horizon_week") % 3 == 0), 1.0).otherwise(0.0),
-        "lag_1": lag1,
-        "lag_2": F.when(F.size(a) >= 2, F.element_at(a, -2)).otherwise(lag1),
-        "lag_4": lag4,
-        "lag_8": _lag_or_mean(a, 8),
-        "lag_13": _lag_or_mean(a, 13),
-        "lag_26": _lag_or_mean(a, 26),
-        "lag_52": F.when(F.size(a) >= 52, F.element_at(a, -52)).otherwise(lag4),
+        **rollout_lags(a, lags),
         "rolling_4_mean": _mean_tail(a, 4),
         "rolling_8_mean": _mean_tail(a, 8),
         "rolling_13_std": F.when(F.size(a) >= 2, _pop_std_tail(a, 13)).otherwise(F.lit(0.0)),
@@ -204,11 +225,12 @@ def forecast_table(future: DataFrame, forecast: Column, resid_std: Column, seaso
 
 def baseline_run(weekly: DataFrame, params: Params = Params()) -> dict[str, DataFrame]:
     """Backtest + forecast with the seasonal-naive baseline as the forecast."""
+    check_lags(params)
     prepared = prepare(weekly)
     train, test = holdout_split(prepared, params.horizon_weeks)
     pred = backtest_frame(test, baseline_forecast(params.seasonal_lag_weeks), params.seasonal_lag_weeks)
     train_rows = train.select(F.count(F.lit(1))).scalar()
-    future = future_frame(prepared, params.horizon_weeks)
+    future = future_frame(prepared, params.horizon_weeks, params.lags)
     fc = forecast_table(future, baseline_forecast(params.seasonal_lag_weeks), residual_std(pred),
                         params.seasonal_lag_weeks)
     return {"prepared": prepared, "train": train, "test": test, "backtest": pred,
@@ -238,7 +260,11 @@ class RidgeModel:
         # bounded by the attribute domains, not by the row count
         pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))
                                     for c in self.categorical])).alias("p")
-        rows = train.select(pairs).groupBy("p.f", "p.v").count().collect()
+        rows = train.select(pairs).groupBy("p.f", "p.v").count().limit(MAX_LABELS + 1).collect()
+        wide = len(self.numeric) + sum(r["count"] >= self.min_frequency for r in rows)
+        if len(rows) > MAX_LABELS or wide > MAX_FEATURES:
+            raise ValueError(f"the normal equations take {MAX_FEATURES} features and {MAX_LABELS} labels at most; "
+                             "raise one_hot_min_frequency or coarsen the categories")
         self.frequent = {c: sorted(r["v"] for r in rows if r["f"] == c and r["count"] >= self.min_frequency)
                          for c in self.categorical}
         self.seen = {c: sorted(r["v"] for r in rows if r["f"] == c) for c in self.categorical}
@@ -249,7 +275,7 @@ class RidgeModel:
                             outputCol="_features"),
             LinearRegression(featuresCol="_features", labelCol=TARGET, predictionCol="_prediction",
                              regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal",
-                             fitIntercept=True),
+                             fitIntercept=True, tol=1e-11, maxIter=2000),   # absent labels make the equations singular
         ]).fit(staged)
         return self
 
@@ -271,11 +297,12 @@ class RidgeModel:
             cols[f"_p_{c}"] = pooled
         return df.withColumns(cols)
 
-    def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-        """row-aligned predictions clipped at zero."""
+    def predict(self, df: DataFrame, out_col: str = "prediction", clipped: bool = True, keep_features: bool = False) -> DataFrame:
+        """row-aligned predictions, clipped at zero; the assembled ``_features`` are kept on request."""
         scored = self.pipeline.transform(self._features(df))
-        tmp = [c for c in scored.columns if c.startswith(("_z_", "_p_", "_i_", "_oh_"))] + ["_features"]
-        return scored.withColumn(out_col, F.greatest(F.col("_prediction"), F.lit(0.0))).drop(*tmp, "_prediction")
+        tmp = [c for c in scored.columns if c.startswith(("_z_", "_p_", "_i_", "_oh_"))] + ([] if keep_features else ["_features"])
+        value = F.greatest(F.col("_prediction"), F.lit(0.0)) if clipped else F.col("_prediction")
+        return scored.withColumn(out_col, value).drop(*tmp, "_prediction")
 
     def coefficients(self):
         lr = self.pipeline.stages[-1]
@@ -285,6 +312,7 @@ class RidgeModel:
 def ridge_run(weekly: DataFrame, params: Params = Params(), features: str = "full") -> dict[str, DataFrame]:
     """F4-F7, F9, F13-F16, F21-F22, F24 with the ridge model."""
     numeric = NUMERIC_FEATURES if features == "full" else LEAK_FREE_NUMERIC
+    check_lags(params)
     prepared = prepare(weekly)
     train, test = holdout_split(prepared, params.horizon_weeks)
     model = RidgeModel(numeric, CATEGORICAL_FEATURES, params.ridge_alpha, params.one_hot_min_frequency).fit(train)
@@ -292,7 +320,7 @@ def ridge_run(weekly: DataFrame, params: Params = Params(), features: str = "ful
     train_rows = train.select(F.count(F.lit(1))).scalar()
     final = RidgeModel(numeric, CATEGORICAL_FEATURES, params.ridge_alpha,
                        params.one_hot_min_frequency).fit(prepared)                        # F16
-    future = final.predict(future_frame(prepared, params.horizon_weeks))
+    future = final.predict(future_frame(prepared, params.horizon_weeks, params.lags))
     fc = forecast_table(future, F.col("prediction"), residual_std(pred), params.seasonal_lag_weeks)
     return {"backtest": pred, "metrics": metrics(pred, train_rows, params.horizon_weeks), "forecasts": fc,
             "model": model, "final_model": final}

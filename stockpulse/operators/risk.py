@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.functions.columns import clip, clip01, round_half_up
+from stockpulse.functions.columns import clip, clip01, round_half_up, with_defaults
 from stockpulse.params import Params
 
 # Actions, reasons and scoring constants.
@@ -35,8 +35,12 @@ RISK_COLUMNS = [
 FIRST_ROW = ["sku_name", "category", "subcategory", "on_hand_units", "on_order_units", "lead_time_days",
              "reorder_point", "damaged_units", "reserved_units", "list_price", "unit_cost"]
 
+# Columns a forecast may lack: no damaged or reserved units, and the id serves as the name.
+FIRST_ROW_DEFAULTS = {"damaged_units": 0.0, "reserved_units": 0.0, "sku_name": None}
+
 
 def score_risk(forecasts: DataFrame, params: Params = Params(), sort: bool = True) -> DataFrame:
+    forecasts = with_defaults(forecasts, FIRST_ROW_DEFAULTS)
     g = forecasts.groupBy("sku_id").agg(
         F.min_by(F.struct(*FIRST_ROW), F.col("horizon_week")).alias("f"),                       # K1
         F.max("horizon_week").alias("max_h"),
@@ -77,7 +81,7 @@ def score_risk(forecasts: DataFrame, params: Params = Params(), sort: bool = Tru
     positive_gap = clip(F.col("gap"), 0.0)
     out = df.select(
         "sku_id",
-        F.coalesce(f("sku_name"), F.col("sku_id")).alias("sku_name"),
+        F.coalesce(f("sku_name").cast("string"), F.col("sku_id")).alias("sku_name"),
         f("category").alias("category"),
         f("subcategory").alias("subcategory"),
         round_half_up("demand_horizon", 2).alias("forecast_8w_units"),                             # K13
@@ -101,12 +105,17 @@ def score_risk(forecasts: DataFrame, params: Params = Params(), sort: bool = Tru
     return out.orderBy(F.desc("priority_score"), "sku_id") if sort else out                        # K14
 
 
+def rupees(column: str):
+    """A money total by whole paise, which does not depend on the order of the rows."""
+    return F.coalesce(F.sum(F.round(F.col(column) * 100).cast("bigint")) / 100, F.lit(0.0))
+
+
 def risk_summary(risk: DataFrame) -> DataFrame:
     """One-row totals and action counts."""
     a = F.col("recommended_action")
     return risk.agg(
-        F.coalesce(F.sum("sales_at_risk_rupees"), F.lit(0.0)).alias("total_sales_at_risk_rupees"),
-        F.coalesce(F.sum("locked_capital_rupees"), F.lit(0.0)).alias("total_locked_capital_rupees"),
+        rupees("sales_at_risk_rupees").alias("total_sales_at_risk_rupees"),
+        rupees("locked_capital_rupees").alias("total_locked_capital_rupees"),
         F.count_if(a == ACTION_REORDER).alias("reorder_now_skus"),
         F.count_if(a == ACTION_MARKDOWN).alias("markdown_clear_skus"),
         F.count_if(a == ACTION_WATCH).alias("watch_volatile_skus"),

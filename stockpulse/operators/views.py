@@ -10,10 +10,10 @@ left to AQE's measured broadcast decision.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stockpulse.functions import fmt
 from stockpulse.functions.columns import col
@@ -292,9 +292,10 @@ def customer_kpis(customers: DataFrame) -> DataFrame:
 def segment_drill(customers: DataFrame, segment: str) -> DataFrame:
     """One segment, highest churn first, with its count and revenue."""
     seg = customers.where(F.col("segment") == segment)
-    w = Window.partitionBy("segment")
-    return (seg.withColumns({"segment_customers": F.count(F.lit(1)).over(w),
-                             "segment_revenue": F.sum("monetary").over(w)})
+    # whole cents: the total does not depend on the order of the rows
+    cents = F.sum(F.round(F.col("monetary") * 100).cast("bigint"))
+    total = seg.select(F.struct(F.count(F.lit(1)).alias("n"), (cents / 100).alias("revenue"))).scalar()
+    return (seg.withColumns({"segment_customers": total["n"], "segment_revenue": total["revenue"]})
                .orderBy(F.desc("churn_risk"), "customer_id"))
 
 
@@ -336,11 +337,6 @@ def missing_profile(df: DataFrame, top: int = 20) -> DataFrame:
     return long.where(F.col("missing_pct") > 0).orderBy(F.desc("missing_pct"), "column").limit(top)
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    """Numeric columns by schema type."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-
-
 # ---------------------------------------------------------------- D24-D38
 def meeting_summary(risk: DataFrame) -> DataFrame:
     """Category with the largest sales at risk and the top-priority SKU."""
@@ -412,7 +408,8 @@ def category_drill(risk: DataFrame, category: str) -> DataFrame:
     """SKU rows of one category with the drill-down columns."""
     return risk.where(F.col("category") == category).select(
         "sku_id", "sku_name", "category", "subcategory", "recommended_action", "stockout_risk", "overstock_risk",
-        "forecast_8w_units", "available_units", "sales_at_risk_rupees", "locked_capital_rupees", "priority_score")
+        "forecast_8w_units", "available_units", "recommended_order_qty", "sales_at_risk_rupees", "locked_capital_rupees",
+        "priority_score", "reason")
 
 
 def value_column(df: DataFrame) -> Column:
@@ -435,11 +432,11 @@ def date_column(df: DataFrame) -> str | None:
     return next((c for c in DATE_COLUMNS if c in df.columns), None)
 
 
-def region_sales(sales: DataFrame) -> DataFrame:
-    """Sales value per region with its coordinates (5-row literal table, broadcast)."""
-    coords = sales.sparkSession.createDataFrame(REGION_COORDINATES, "region string, lat double, lon double")
+def region_sales(sales: DataFrame, coordinates: list[tuple] = REGION_COORDINATES) -> DataFrame:
+    """Sales value per region with its coordinates (null for a region without any)."""
+    coords = sales.sparkSession.createDataFrame(coordinates, "region string, lat double, lon double")
     g = sales.where(F.col("region").isNotNull()).groupBy("region").agg(F.sum(value_column(sales)).alias("sales_value"))
-    return g.join(F.broadcast(coords), "region", "left")
+    return g.join(coords, "region", "left")
 
 
 def group_sum(df: DataFrame, group: str, value: Column, name: str = "sales_value") -> DataFrame:
@@ -490,10 +487,16 @@ def executive_categories(risk: DataFrame) -> DataFrame:
                 .orderBy(F.desc("sales_at_risk"), "category"))
 
 
-def customer_pairs(customers: DataFrame, x: str = "recency_days", y: str = "frequency", n: int = 50) -> DataFrame:
-    """Two behaviour measures by segment (chart preview of ``n`` rows)."""
-    return customers.orderBy("customer_id").limit(n).select("customer_id", "segment", F.col(x).alias("x"),
-                                                            F.col(y).alias("y"))
+# The behaviour measures, any two of which make a chart.
+BEHAVIOUR = ["recency_days", "frequency", "monetary", "churn_risk", "return_rate"]
+
+
+def customer_pairs(customers: DataFrame, measures: list[str] = BEHAVIOUR) -> DataFrame:
+    """Every customer's point in the chart of every two behaviour measures, by segment."""
+    pairs = [F.struct(F.lit(f"{a} / {b}").alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+             for a, b in combinations(measures, 2)]
+    return customers.select("customer_id", "segment", F.explode(F.array(*pairs)).alias("p")).select(
+        "p.pair", "customer_id", "segment", "p.x", "p.y")
 
 
 def revenue_page(sales: DataFrame) -> DataFrame:
@@ -510,6 +513,7 @@ def locked_capital_top(risk: DataFrame, n: int = 15) -> DataFrame:
                 .select("sku_id", "sku_name", "category", "locked_capital_rupees", "recommended_action"))
 
 
+# The columns of the inventory page.
 INVENTORY_PAGE_COLUMNS = ["sku_id", "sku_name", "category", "available_units", "forecast_8w_units", "stockout_risk",
                           "overstock_risk", "sales_at_risk_rupees", "locked_capital_rupees", "recommended_order_qty",
                           "recommended_action", "reason"]
@@ -524,9 +528,42 @@ def inventory_page(risk: DataFrame) -> DataFrame:
 
 def orders_page(sales: DataFrame, approx: bool = False) -> DataFrame:
     """Distinct orders and customers, units (exact or HyperLogLog counts)."""
-    distinct = F.approx_count_distinct if approx else F.countDistinct
-    return sales.agg(distinct("order_id").alias("orders"), distinct("customer_id").alias("customers"),
-                     F.coalesce(F.sum("units_sold"), F.lit(0.0)).alias("units_sold"))
+    units = F.coalesce(F.sum("units_sold"), F.lit(0.0)).alias("units_sold")
+    has_orders = "order_id" in sales.columns
+    if approx:
+        orders = F.approx_count_distinct("order_id") if has_orders else F.count(F.lit(1))
+        return sales.agg(orders.alias("orders"), F.approx_count_distinct("customer_id").alias("customers"), units)
+    # one pre-aggregation a key, instead of expanding every line for two distinct counts
+    count = lambda c: sales.where(F.col(c).isNotNull()).groupBy(c).agg(F.lit(1).alias("_")).select(F.count(F.lit(1))).scalar()
+    orders = count("order_id") if has_orders else F.count(F.lit(1))
+    return sales.agg(orders.alias("orders"), count("customer_id").alias("customers"), units)
+
+
+# The columns of the order listing.
+ORDER_LISTING = ["date", "order_id", "customer_id", "sku_id", "sales_channel", "region", "units_sold", "unit_price",
+                 "discount_pct", "revenue"]
+
+
+def order_listing(sales: DataFrame, n: int = 100) -> DataFrame:
+    """The first ``n`` order lines by date (those of the columns that exist)."""
+    shown = [c for c in ORDER_LISTING if c in sales.columns]
+    return sales.select(*shown).orderBy(*shown).limit(n)
+
+
+def top_list(risk: DataFrame, n: int = 100) -> DataFrame:
+    """The ``n`` SKUs of highest priority."""
+    return risk.orderBy(F.desc("priority_score"), "sku_id").limit(n)
+
+
+class UnknownSku(LookupError):
+    """A SKU id that the risk table does not hold."""
+
+
+def found_or_raise(df: DataFrame, sku_id: str) -> DataFrame:
+    """``df`` if it has a row; the lookups by one id report an unknown one instead of returning nothing."""
+    if not df.take(1):
+        raise UnknownSku(f"no SKU '{sku_id}' in the risk table")
+    return df
 
 
 def any_column_search(df: DataFrame, text: str) -> DataFrame:
@@ -553,13 +590,20 @@ def sku_detail(risk: DataFrame, forecasts: DataFrame, sku_ids: DataFrame) -> Dat
     return risk.join(sku_ids, "sku_id", "left_semi").join(fc, "sku_id", "left")
 
 
+# The columns of a score.
 SCORE_COLUMNS = ["sku_id", "category", "forecast_8w_units", "stockout_risk", "overstock_risk", "recommended_action",
                  "priority_score", "sales_at_risk_rupees", "locked_capital_rupees", "reason"]
 
 
 def score_sku(risk: DataFrame, sku_id: str) -> DataFrame:
     """A4: the 10-column score of one SKU (pushed-down key filter)."""
-    return risk.where(F.col("sku_id") == sku_id).select(*SCORE_COLUMNS)
+    return found_or_raise(risk.where(F.col("sku_id") == sku_id).select(*SCORE_COLUMNS), sku_id)
+
+
+def one_sku(risk: DataFrame, forecasts: DataFrame, sku_id: str) -> DataFrame:
+    """A3 for one id: its detail row, or ``UnknownSku``."""
+    ids = risk.where(F.col("sku_id") == sku_id).select("sku_id")
+    return found_or_raise(sku_detail(risk, forecasts, ids), sku_id)
 
 
 def batch_score(risk: DataFrame, sku_ids: DataFrame) -> DataFrame:

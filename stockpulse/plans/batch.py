@@ -3,7 +3,8 @@
 Clean -> weekly features -> customer segments -> forecast (ridge, plus the
 baseline) -> risk scores -> summaries, each written as Parquet (one-row
 summaries as JSON) under ``out_dir``.  Later analytic views read these
-tables back with ``sources.io.read_table``.
+tables back with ``sources.io.read_table``.  An output folder that exists is
+an error.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from stockpulse.operators import risk as rk
 from stockpulse.operators import views
 from stockpulse.params import Params
 from stockpulse.plans.context import Context
+from stockpulse.session import materialize
 from stockpulse.sources import io
 
 OUTPUTS = ("weekly_features", "customer_segments", "backtest_predictions", "model_metrics", "sku_forecasts",
@@ -28,6 +30,7 @@ def run_batch(spark: SparkSession, sf_dir: str, out_dir: str, params: Params = P
     io.write_table(ctx.weekly, paths["weekly_features"], partition_by=["category"])
     io.write_table(ctx.customers, paths["customer_segments"])
     run = fc.ridge_run(ctx.weekly, params) if model == "ridge" else fc.baseline_run(ctx.weekly, params)
+    run["backtest"] = materialize(run["backtest"], "batch-backtest")   # the metrics and the forecast's band read it too
     io.write_table(run["backtest"], paths["backtest_predictions"])
     io.write_table(run["metrics"], paths["model_metrics"])
     io.write_table(run["forecasts"], paths["sku_forecasts"])

@@ -55,10 +55,18 @@ def shared_context(spark: SparkSession, sf_dir: str, params: Params = Params())
     forecasts, risk) are then written once per session and read by every
     later query, as the original's views read the batch outputs.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, params)
-    if key not in _CONTEXTS:
-        _CONTEXTS[key] = Context(spark, sf_dir, params, persist_sales=True)
-    return _CONTEXTS[key]
+    where = (spark.sparkContext.applicationId, sf_dir, params)
+    state = _input_state(spark, sf_dir)
+    if where not in _CONTEXTS or _CONTEXTS[where][0] != state:
+        _CONTEXTS[where] = (state, Context(spark, sf_dir, params))
+    return _CONTEXTS[where][1]
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the inputs: a context made from other files is not used again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def run(name: str, spark: SparkSession, sf_dir: str, params: Params = Params(), fresh: bool = False) -> DataFrame:

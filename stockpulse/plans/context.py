@@ -27,14 +27,10 @@ from stockpulse.sources import adapters
 
 
 class Context:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = Params(), persist_sales: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = Params()):
         self.spark = spark
         self.sf_dir = sf_dir
         self.params = params
-        # A long-lived context (many queries) writes the sales extract once:
-        # the weekly aggregate, the customer aggregate and the sales views
-        # then read that table instead of re-running the five-table join.
-        self.persist_sales = persist_sales
         ensure_checkpoint_dir(spark)
 
     @cached_property
@@ -43,8 +39,8 @@ class Context:
 
     @cached_property
     def sales_raw(self) -> DataFrame:
-        sales = adapters.sales_daily(self.tables, self.params.grain)
-        return materialize(sales, "sales") if self.persist_sales else sales
+        """Lazy: every view reads the columns it needs straight off the join."""
+        return adapters.sales_daily(self.tables, self.params.grain)
 
     @cached_property
     def sales_clean(self) -> DataFrame:
@@ -68,7 +64,7 @@ class Context:
         return {
             "sales_daily": self.sales_raw,
             "sku_master": adapters.sku_master(t, g, keep_sku_no=True).withColumnRenamed("sku_no", "_ord"),
-            "calendar": adapters.calendar(bounds=(lo, hi), spark=self.spark),
+            "calendar": adapters.calendar(bounds=(lo, hi), spark=self.spark).withColumn("_ord", F.datediff("date", F.lit("1970-01-01"))),
             "inventory_snapshots": adapters.inventory_snapshots(t, grain=g, last_date=hi),
         }
 

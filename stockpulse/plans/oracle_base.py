@@ -61,13 +61,10 @@ CAL0 = """
   SELECT CAST(d AS DATE) AS date,
          CAST(weekofyear(d) AS INTEGER) AS week,
          CAST(month(d) AS INTEGER) AS month,
-         CASE WHEN month(d) IN (12, 1, 2, 11) THEN 'Winter' WHEN month(d) = 3 THEN 'Spring'
-              WHEN month(d) IN (4, 5) THEN 'Summer' WHEN month(d) IN (6, 7, 8) THEN 'Monsoon'
-              ELSE 'Festive' END AS season,
+         'Q' || CAST(quarter(d) AS VARCHAR) AS season,
          (month(d) = 1 AND day(d) = 26) OR (month(d) = 8 AND day(d) = 15) OR (month(d) = 12 AND day(d) = 25)
            AS is_holiday,
-         CASE WHEN month(d) IN (10, 11) THEN 'Festive Sale' WHEN month(d) IN (6, 7) THEN 'Monsoon Offer'
-              ELSE 'None' END AS promo_event
+         CASE WHEN month(d) % 5 = 0 THEN 'Promotion ' || CAST(month(d) AS VARCHAR) ELSE 'None' END AS promo_event
   FROM (SELECT unnest(generate_series(CAST((SELECT MIN(date) FROM sales0) AS TIMESTAMP),
                                       CAST((SELECT MAX(date) FROM sales0) AS TIMESTAMP), INTERVAL 1 DAY)) AS d)"""
 
@@ -160,7 +157,8 @@ CAL1 = """
 
 WS = """
   SELECT sku_id, CAST(date_trunc('week', date) AS DATE) AS week_start,
-         SUM(units_sold) AS units_sold, SUM(revenue) AS revenue, AVG(unit_price) AS avg_unit_price,
+         SUM(units_sold) AS units_sold, CAST(SUM(CAST(ROUND(revenue * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue,
+         AVG(unit_price) AS avg_unit_price,
          CAST(SUM(CAST(promo_flag AS INTEGER)) AS BIGINT) AS promo_days, AVG(discount_pct) AS avg_discount,
          SUM(ad_spend) AS ad_spend, SUM(page_views) AS page_views, SUM(return_units) AS return_units,
          CAST(SUM(CAST(stockout_flag AS INTEGER)) AS BIGINT) AS stockout_days,

@@ -9,7 +9,7 @@ from stockpulse.plans.catalogue import register
 
 CTES = [
     ("rfm0", """
-  SELECT customer_id, MAX(date) AS last_purchase, COUNT(DISTINCT order_id) AS frequency, SUM(revenue) AS monetary,
+  SELECT customer_id, MAX(date) AS last_purchase, COUNT(DISTINCT order_id) AS frequency, CAST(SUM(CAST(ROUND(revenue * 100) AS BIGINT)) AS DOUBLE) / 100 AS monetary,
          SUM(units_sold) AS units, AVG(discount_pct) AS avg_discount, SUM(return_units) AS return_units,
          CAST((SELECT MAX(date) FROM sales1) + 1 - MAX(date) AS INTEGER) AS recency_days
   FROM sales1

@@ -196,7 +196,7 @@ def category_impact(ctx):
     return V.category_impact(_risk(ctx))
 
 
-@register("top_actions", covers="D10, D31, P8", sql=f"""
+@register("top_actions", covers="D10, D31", sql=f"""
 SELECT sku_id, sku_name, category, recommended_action, reason, recommended_order_qty, markdown_candidate_units,
        {_money_sql('sales_at_risk_rupees')} AS sales_at_risk, {_money_sql('locked_capital_rupees')} AS locked_capital,
        priority_score
@@ -402,7 +402,7 @@ def question_answers(ctx):
 
 @register("category_drill", covers="D26", sql=f"""
 SELECT sku_id, sku_name, category, subcategory, recommended_action, stockout_risk, overstock_risk, forecast_8w_units,
-       available_units, sales_at_risk_rupees, locked_capital_rupees, priority_score
+       available_units, recommended_order_qty, sales_at_risk_rupees, locked_capital_rupees, priority_score, reason
 FROM risk WHERE category = '{DRILL_CATEGORY}'""")
 def category_drill(ctx):
     """Category -> SKU drill-down rows."""
@@ -412,8 +412,7 @@ def category_drill(ctx):
 @register("region_sales", covers="D27, D28", r2=["sales_value"], sql="""
 SELECT g.region, g.sales_value, c.lat, c.lon
 FROM (SELECT region, SUM(revenue) AS sales_value FROM sales0 WHERE region IS NOT NULL GROUP BY region) g
-LEFT JOIN (VALUES ('North', 28.6139, 77.2090), ('South', 12.9716, 77.5946), ('East', 22.5726, 88.3639),
-                  ('West', 19.0760, 72.8777), ('Central', 23.2599, 77.4126)) AS c(region, lat, lon)
+LEFT JOIN (VALUES """ + ", ".join(f"('{r}', {a}, {b})" for r, a, b in V.REGION_COORDINATES) + """) AS c(region, lat, lon)
   ON c.region = g.region""")
 def region_sales(ctx):
     """Sales value by region with coordinates."""
@@ -479,11 +478,16 @@ def executive_categories(ctx):
     return V.executive_categories(_risk(ctx))
 
 
-@register("customer_pairs", covers="D34", sql="""
-SELECT customer_id, segment, recency_days AS x, frequency AS y FROM cust ORDER BY customer_id LIMIT 50""")
+def _pairs_sql() -> str:
+    pairs = [(a, b) for i, a in enumerate(V.BEHAVIOUR) for b in V.BEHAVIOUR[i + 1:]]
+    return " UNION ALL ".join(f"SELECT '{a} / {b}' AS pair, customer_id, segment, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM cust"
+                              for a, b in pairs)
+
+
+@register("customer_pairs", covers="D34", r4=["x", "y"], sql=_pairs_sql())
 def customer_pairs(ctx):
-    """Two behaviour measures by segment (50-row chart preview)."""
-    return V.customer_pairs(ctx.customers, "recency_days", "frequency", 50)
+    """Every customer in the chart of every two behaviour measures."""
+    return V.customer_pairs(ctx.customers)
 
 
 @register("revenue_page", covers="D35", r2=["total_revenue"], r4=["avg_discount"], sql="""
@@ -566,8 +570,7 @@ WHERE sku_id = (SELECT sku_id FROM risk ORDER BY priority_score DESC, sku_id LIM
 def sku_score(ctx):
     """10-column score of the top SKU."""
     risk = _risk(ctx)
-    top = V.top_skus(risk, 1).select("sku_id").scalar()
-    return risk.where(F.col("sku_id") == top).select(*V.SCORE_COLUMNS)
+    return V.score_sku(risk, V.top_skus(risk, 1).first()["sku_id"])
 
 
 @register("batch_score", covers="A5", sql="""

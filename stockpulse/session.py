@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -72,4 +75,25 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _TABLES.append(path)
     return spark.read.parquet(path)
+
+
+_TABLES: list[str] = []
+
+
+def release_tables() -> None:
+    """Remove the tables written by ``materialize`` in this process; frames that read them can't be used afterwards.
+
+    Runs when the process ends; long sessions may call it between batches.
+    """
+    jvm = SparkContext._jvm
+    while _TABLES and jvm is not None:
+        path = jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    with contextlib.suppress(Exception):   # the JVM may be gone already
+        release_tables()

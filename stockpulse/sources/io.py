@@ -24,10 +24,15 @@ REQUIRED_COLUMNS = {
 ORD = "_ord"
 
 
+class ContractError(ValueError):
+    """An extract that lacks columns the contract asks for."""
+
+
 def check_required(name: str, df: DataFrame) -> DataFrame:
-    missing = REQUIRED_COLUMNS[name] - set(df.columns)
-    if missing:
-        raise ValueError(f"{name} is missing required columns: {sorted(missing)}")
+    """Return ``df`` if it holds every column of its contract."""
+    absent = [c for c in sorted(REQUIRED_COLUMNS[name]) if c not in set(df.columns)]
+    if absent:
+        raise ContractError(f"extract '{name}' lacks {', '.join(absent)}")
     return df
 
 
@@ -57,15 +62,17 @@ def read_extract(spark: SparkSession, name: str, path: str, fmt: str | None = No
         else:
             df = spark.read.parquet(path)
     except AnalysisException as exc:
-        raise FileNotFoundError(f"Missing required raw file: {path}") from exc
+        raise FileNotFoundError(f"extract '{name}' cannot be read at {path}") from exc
     check_required(name, df)
     return with_ingest_order(df)
 
 
-def load_raw_data(spark: SparkSession, raw_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The four extracts as lazy DataFrames."""
-    ext = "csv" if fmt == "csv" else "parquet"
-    return {name: read_extract(spark, name, f"{raw_dir}/{name}.{ext}", fmt) for name in REQUIRED_COLUMNS}
+def load_extracts(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
+    """Every extract of the contract, lazily, from files named after it."""
+    extracts = {}
+    for name in REQUIRED_COLUMNS:
+        extracts[name] = read_extract(spark, name, f"{folder.rstrip('/')}/{name}.{fmt}", fmt)
+    return extracts
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -74,9 +81,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def safe_read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
-    """Tolerant read, an empty frame of ``schema`` on any failure."""
+    """Tolerant read: an empty frame of ``schema`` if nothing can be read at ``path``, files that are corrupt skipped.
+
+    Columns are checked against the files for Parquet: a folder whose files
+    cannot be opened at all counts as unreadable.
+    """
     try:
-        reader = spark.read.schema(schema)
+        reader = spark.read.schema(schema).option("ignoreCorruptFiles", True)
         df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
         df.schema  # force analysis so a missing path fails here
         return df
@@ -84,9 +95,10 @@ def safe_read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
         return spark.createDataFrame([], schema)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
-    """Table sink; Parquet by default, partitioned where it prunes reads."""
-    writer = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet",
+                mode: str = "errorifexists") -> str:
+    """Table sink; Parquet by default, partitioned where it prunes reads.  An existing folder is an error unless ``mode`` says otherwise."""
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -96,9 +108,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return path
 
 
-def write_summary_json(df: DataFrame, path: str) -> str:
-    """A one-row summary frame as JSON."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_summary_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """A summary as JSON.  A summary is one aggregated row, so it is one file; other frames keep their partitions."""
+    df.write.mode(mode).json(path)
     return path
 
 

@@ -66,6 +66,34 @@ def test_keep_last_follows_csv_file_order(spark, tmp_path):
     assert out["is_weekend"] is False   # 2024-01-01 is a Monday
 
 
+def test_keep_last_needs_the_file_order(spark):
+    df = spark.createDataFrame([("2024-01-01", "A", "1", "1", "1", "1")], "date string, sku_id string, on_hand_units string, "
+                               "on_order_units string, lead_time_days string, reorder_point string")
+    with pytest.raises(ValueError, match="_ord"):
+        clean.clean_inventory(df)
+
+
+def test_all_extracts_load_from_a_folder(spark, tmp_path):
+    lines = {"sales_daily": "date,sku_id,units_sold,revenue,unit_price,promo_flag\n2024-01-01,A,2,20,10,True\n",
+             "sku_master": "sku_id,category,subcategory,launch_date,unit_cost,list_price\nA,C,S,2023-01-01,5,10\n",
+             "calendar": "date,week,month,season,is_holiday,promo_event\n2024-01-01,1,1,Q1,True,None\n",
+             "inventory_snapshots": "date,sku_id,on_hand_units,on_order_units,lead_time_days,reorder_point\n2024-01-01,A,4,1,7,2\n"}
+    for name, text in lines.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    raw = io.load_extracts(spark, str(tmp_path))
+    assert set(raw) == set(lines)
+    assert clean.clean_sales(raw["sales_daily"]).first()["revenue"] == 20.0
+    assert clean.clean_sku(raw["sku_master"]).first()["unit_cost"] == 5.0
+    assert clean.clean_inventory(raw["inventory_snapshots"]).first()["on_hand_units"] == 4.0
+
+
+def test_tolerant_read_skips_corrupt_files(spark, tmp_path):
+    good = spark.createDataFrame([(1,), (2,)], "a int")
+    good.write.parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "part-broken.parquet").write_bytes(b"not parquet at all")
+    assert sorted(r["a"] for r in io.safe_read(spark, str(tmp_path / "t"), good.schema, "parquet").collect()) == [1, 2]
+
+
 def test_inventory_clips(spark):
     data = [("2024-01-01", "A", "-5", "x", "0", "3", 1), ("2024-01-01", "A", "7", "2", "3", "3", 0)]
     df = spark.createDataFrame(data, "date string, sku_id string, on_hand_units string, on_order_units string, "

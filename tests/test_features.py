@@ -21,9 +21,10 @@ def _inputs(spark, weeks=6, inv=None, skus=("A", "B", "C")):
                                    "unit_cost double, list_price double, _ord long")
     cal = [(D(2024, 1, 1) + dt.timedelta(days=d), 1, 1, "Winter", False, "None") for d in range(7 * weeks)]
     cal_df = spark.createDataFrame(cal, "date date, week int, month int, season string, is_holiday boolean, "
-                                        "promo_event string")
+                                        "promo_event string").withColumn("_ord", F.datediff("date", F.lit("2024-01-01")))
     inv_df = spark.createDataFrame(inv or [], "date date, sku_id string, on_hand_units double, "
-                                              "on_order_units double, lead_time_days double, reorder_point double")
+                                              "on_order_units double, lead_time_days double, reorder_point double"
+                                   ).withColumn("_ord", F.datediff("date", F.lit("2024-01-01")))
     return {"sales_daily": clean.clean_sales(sales_df), "sku_master": clean.clean_sku(sku_df),
             "calendar": clean.clean_calendar(cal_df), "inventory_snapshots": clean.clean_inventory(inv_df)}
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import bias, wape
@@ -15,35 +16,42 @@ def test_wape_bias_zero_actuals(spark):
     assert r["w"] == 3.0 and r["b"] == 0.0
 
 
-def _reference_rollout(hist, h):
-    """Plain-Python statement of the recurrence (lags from the history, append the 4-week mean)."""
-    out, dh = [], list(hist)
-    for _ in range(h):
-        lag1 = dh[-1] if len(dh) >= 1 else 0
-        lag4 = dh[-4] if len(dh) >= 4 else float(np.mean(dh[-4:]))
-        row = {"lag_1": lag1, "lag_2": dh[-2] if len(dh) >= 2 else lag1, "lag_4": lag4,
-               "lag_52": dh[-52] if len(dh) >= 52 else lag4, "rolling_4_mean": float(np.mean(dh[-4:])),
-               "rolling_13_std": float(np.std(dh[-13:])) if len(dh) >= 2 else 0.0}
-        out.append(row)
-        dh.append(row["rolling_4_mean"])
-    return out
+def _weeks(spark, histories):
+    last = dt.date(2024, 6, 3)
+    rows = [(sku, last - dt.timedelta(weeks=len(h) - 1 - i), float(v)) for sku, h in histories.items() for i, v in enumerate(h)]
+    return fc.prepare(spark.createDataFrame(rows, "sku_id string, week_start date, units_sold double"))
 
 
-def test_future_frame_short_and_long_history(spark):
-    rows = []
-    for sku, n in (("S3", 3), ("S60", 60)):
-        for i in range(n):
-            rows.append((sku, dt.date(2023, 1, 2) + dt.timedelta(days=7 * (i + 60 - n)), float((i * 7) % 11)))
-    df = spark.createDataFrame(rows, "sku_id string, week_start date, units_sold double")
-    fut = fc.future_frame(fc.prepare(df), 4).orderBy("sku_id", "horizon_week").collect()
-    for sku, n in (("S3", 3), ("S60", 60)):
-        hist = [r[2] for r in rows if r[0] == sku]
-        expect = _reference_rollout(hist, 4)
-        got = [r for r in fut if r["sku_id"] == sku]
-        for g, e in zip(got, expect):
-            for k, v in e.items():
-                assert abs(g[k] - v) < 1e-9, (sku, k, g[k], v)
-        assert [g["horizon_week"] for g in got] == [1, 2, 3, 4]
+def test_rollout_of_a_three_week_history(spark):
+    # by hand: 3, 6, 12 -> mean 7; then 6, 12, 7 with 3 -> mean 7; then 6, 12, 7, 7 -> mean 8
+    got = fc.future_frame(_weeks(spark, {"a": [3, 6, 12]}), 3).orderBy("horizon_week").collect()
+    assert [r["rolling_4_mean"] for r in got] == [7.0, 7.0, 8.0]
+    assert [(r["lag_1"], r["lag_2"]) for r in got] == [(12.0, 6.0), (7.0, 12.0), (7.0, 7.0)]
+    assert [r["lag_4"] for r in got] == [7.0, 3.0, 6.0]           # the mean of three, then the fourth from the end
+    assert [r["lag_52"] for r in got] == [7.0, 3.0, 6.0]          # no such week: lag 4
+    assert abs(got[0]["rolling_13_std"] - 14 ** 0.5) < 1e-12      # deviations -4, -1, 5 around 7
+
+
+def test_rollout_of_a_sixty_week_history(spark):
+    # week i sold i: 60 is the last, 9 stands 52 weeks before the first forecast week
+    got = fc.future_frame(_weeks(spark, {"a": range(1, 61)}), 2).orderBy("horizon_week").collect()
+    assert [r["lag_52"] for r in got] == [9.0, 10.0]
+    assert [r["lag_13"] for r in got] == [48.0, 49.0] and [r["lag_26"] for r in got] == [35.0, 36.0]
+    assert [r["rolling_4_mean"] for r in got] == [58.5, 58.875]   # 57..60; then 58, 59, 60 and 58.5
+    assert [r["lag_1"] for r in got] == [60.0, 58.5]
+
+
+def test_rollout_follows_the_lags_asked_for(spark):
+    weeks = _weeks(spark, {"long": range(1, 121), "short": range(1, 11)})
+    got = {(r["sku_id"], r["horizon_week"]): r for r in fc.future_frame(weeks, 3, (1, 4, 5, 104)).collect()}
+    assert [got["long", h]["lag_104"] for h in (1, 2, 3)] == [17.0, 18.0, 19.0]
+    assert [got["long", h]["lag_5"] for h in (1, 2, 3)] == [116.0, 117.0, 118.0]
+    assert got["short", 1]["lag_104"] == got["short", 1]["lag_4"] == 7.0   # the history is shorter than the lag
+
+
+def test_seasonal_lag_must_be_rolled_out(spark):
+    with pytest.raises(ValueError, match="104"):
+        fc.baseline_run(_weeks(spark, {"a": [1, 2, 3]}), Params(seasonal_lag_weeks=104))
 
 
 def test_ridge_matches_closed_form(spark):
