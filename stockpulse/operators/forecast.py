@@ -15,8 +15,8 @@ recursive 8-week feature rollout (F1-F24).
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -268,25 +268,26 @@ class RidgeModel:
         self.frequent = {c: sorted(r["v"] for r in rows if r["f"] == c and r["count"] >= self.min_frequency)
                          for c in self.categorical}
         self.seen = {c: sorted(r["v"] for r in rows if r["f"] == c) for c in self.categorical}
-        staged = self._features(train)
         reg = self.alpha * y_std / n if n else 0.0
-        self.pipeline = Pipeline(stages=self._encoders() + [
+        # the labels are known: the indexers are made from them, without another pass over the rows
+        indexers = []
+        for c in self.categorical:
+            pooled = [self.INFREQUENT] if len(self.frequent[c]) < len(self.seen[c]) else []
+            indexers.append(StringIndexerModel.from_labels(sorted(self.frequent[c]) + pooled, inputCol=f"_p_{c}",
+                                                           outputCol=f"_i_{c}", handleInvalid="keep"))
+        staged = PipelineModel(stages=indexers).transform(self._features(train))
+        rest = Pipeline(stages=[
+            OneHotEncoder(inputCols=[f"_i_{c}" for c in self.categorical], outputCols=[f"_oh_{c}" for c in self.categorical],
+                          dropLast=True, handleInvalid="keep"),
             VectorAssembler(inputCols=[f"_z_{c}" for c in self.numeric] + [f"_oh_{c}" for c in self.categorical],
                             outputCol="_features"),
             LinearRegression(featuresCol="_features", labelCol=TARGET, predictionCol="_prediction",
                              regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal",
                              fitIntercept=True, tol=1e-11, maxIter=2000),   # absent labels make the equations singular
         ]).fit(staged)
+        self.pipeline = PipelineModel(stages=[*indexers, *rest.stages])
         return self
 
-    def _encoders(self):
-        return [StringIndexer(inputCols=[f"_p_{c}" for c in self.categorical],
-                              outputCols=[f"_i_{c}" for c in self.categorical],
-                              handleInvalid="keep", stringOrderType="alphabetAsc"),
-                OneHotEncoder(inputCols=[f"_i_{c}" for c in self.categorical],
-                              outputCols=[f"_oh_{c}" for c in self.categorical],
-                              dropLast=True, handleInvalid="keep")]
-
     def _features(self, df: DataFrame) -> DataFrame:
         cols = {f"_z_{c}": (F.col(c) - F.lit(self.means[c])) / F.lit(self.scales[c]) for c in self.numeric}
         for c in self.categorical:

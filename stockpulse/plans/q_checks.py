@@ -306,7 +306,7 @@ def ridge_alignment(ctx):
         value = value + F.lit(float(w[i])) * (F.col(c) - model.means[c]) / model.scales[c]
     at = len(model.numeric)
     for c in model.categorical:
-        labels = sorted([*model.frequent[c], *([model.INFREQUENT] if len(model.frequent[c]) < len(model.seen[c]) else [])])
+        labels = [*sorted(model.frequent[c]), *([model.INFREQUENT] if len(model.frequent[c]) < len(model.seen[c]) else [])]
         pooled = set(model.seen[c]) - set(model.frequent[c])
         weight = F.lit(0.0)
         for i, label in enumerate(labels):
