@@ -18,8 +18,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     the driver.  Null ends and loops are ignored.
     """
     stars = materialize(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    last = None
+    last = None if stars.take(1) else (0, None)
     for _ in range(max_rounds):
+        if last == (0, None):
+            break
         both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()

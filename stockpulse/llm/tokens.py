@@ -151,7 +151,7 @@ class Splitter:
 class PieceCounter:
     """Counts the BPE tokens of one piece by a lazily compiled deterministic transducer."""
 
-    MAX_STATES = 120_000
+    MAX_STATES = 200_000
     MAX_PIECES = 600_000
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
@@ -174,6 +174,7 @@ class PieceCounter:
         """Drop compiled states (they are compiled anew when needed); bounds memory, never changes a count."""
         self.ids: dict[tuple, int] = {}
         self.states: list[tuple] = []
+        self.shapes: dict[bytes, tuple] = {}
         self.moves: dict[int, int] = {}  # state * 256 + byte -> next state * 64 + change + 32
         self._state(b"", ((None, 0),))
 
@@ -235,18 +236,25 @@ class PieceCounter:
         """
         suffix, ends = self.states[state]
         grown = suffix + bytes([byte])
-        token = change = None
-        for i in range(len(grown)):  # longest candidate first
-            candidate = grown[i:]
-            if candidate in self.tokens and self.fits(ends[i][0], candidate):  # an open suffix: ends[i] is kept
-                token, change = candidate, ends[i][1] + 1
+        shape = self.shapes.get(grown)
+        if shape is None:
+            cut = next(i for i in range(len(grown) + 1) if grown[i:] in self.open)
+            # an end before bytes that begin no longer token is never asked for again
+            shape = self.shapes[grown] = ([(i, grown[i:]) for i in range(len(grown)) if grown[i:] in self.tokens],
+                                          cut, grown[cut:], [grown[i:] in self.open for i in range(cut, len(grown))])
+        candidates, cut, rest, asked = shape
+        stable = self.stable
+        for i, token in candidates:  # longest first; ends[i] is kept, since what a token begins is open
+            before, change = ends[i]
+            known = stable.get((before, token))
+            if known or known is None and self.fits(before, token):
+                change += 1
                 break
-        if token is None:
+        else:
             raise ValueError("the merges are not a proper byte-level vocabulary")
-        cut = next(i for i in range(len(grown) + 1) if grown[i:] in self.open)
-        # an end before bytes that begin no longer token is never asked for again
-        kept = (*((e[0], e[1] - change) if grown[cut + i:] in self.open else None for i, e in enumerate(ends[cut:])), (token, 0))
-        packed = self._state(grown[cut:], kept) * 64 + change + 32
+        kept = [(e[0], e[1] - change) if a else None for e, a in zip(ends[cut:], asked)]
+        kept.append((token, 0))
+        packed = self._state(rest, tuple(kept)) * 64 + change + 32
         self.moves[state * 256 + byte] = packed
         return packed
 
