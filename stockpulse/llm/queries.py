@@ -135,4 +135,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that go because a like line stands elsewhere."""
     from stockpulse.llm.lines import dedup_lines
 
-    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_kept", "dropped_lines")
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), shingled=True).select("doc_id", "n_lines", "n_kept", "dropped_lines")

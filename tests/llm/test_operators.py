@@ -341,6 +341,48 @@ def test_fuzzy_lines_against_all_pairs(spark):
         assert r["text"] == "\n".join(x for i, x in enumerate(texts[r["doc_id"]].split("\n")) if i not in want[r["doc_id"]])
 
 
+def _edited(rng, line):
+    """A line with a word replaced, dropped or added, or with typing errors, at an edit similarity of 0.8 or more."""
+    while True:
+        w = list(line)
+        kind, at = rng.randrange(4), rng.randrange(len(w))
+        if kind == 0:
+            w[at] = _word(rng)
+        elif kind == 1:
+            del w[at]
+        elif kind == 2:
+            w.insert(at, _word(rng))
+        s = list(" ".join(w))
+        if kind == 3:
+            for _ in range(max(1, len(s) // 20)):
+                s[rng.randrange(len(s))] = rng.choice("abcdefghij")
+        a, b = " ".join(line), " ".join("".join(s).split())
+        if a != b and _edit(a, b) <= 0.2 * max(len(a), len(b)):
+            return b
+
+
+def _word(rng):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
+
+
+def _recall(spark, lengths, seed):
+    """The share of edited lines that go, by ``lengths`` of words; lines that aren't alike stay."""
+    rng = random.Random(seed)
+    rows, own = [], []
+    for i, n in enumerate(lengths):
+        line = [_word(rng) for _ in range(n)]
+        edited = _edited(rng, line)
+        own.append(len(edited.split()) >= 4)  # shorter ones are compared exactly
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, edited)]
+    got = {r["doc_id"]: r["n_kept"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), shingled=True).collect()}
+    assert all(got[2 * i] == 1 for i in range(len(lengths)))
+    return sum(1 - got[2 * i + 1] for i, o in enumerate(own) if o) / sum(own)
+
+
+def test_edited_lines_are_found(spark):
+    assert _recall(spark, [10, 12, 15, 20, 30, 45, 60, 90] * 12, 21) >= 0.98
+
+
 def test_pigeonhole_blocks_share_a_key(spark):
     rng = random.Random(10)
     rows = []
