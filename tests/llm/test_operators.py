@@ -383,6 +383,10 @@ def test_edited_lines_are_found(spark):
     assert _recall(spark, [10, 12, 15, 20, 30, 45, 60, 90] * 12, 21) >= 0.98
 
 
+def test_edited_lines_of_four_to_eight_words_are_found(spark):
+    assert _recall(spark, [4, 5, 6, 7, 8] * 20, 22) >= 0.9
+
+
 def test_pigeonhole_blocks_share_a_key(spark):
     rng = random.Random(10)
     rows = []
