@@ -192,6 +192,30 @@ def test_base_spans(spark, texts):
         assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == (joined.split(",") if joined else [])
 
 
+def test_keys_of_small_alphabets_are_found_among_ordinary_strings(spark):
+    rng = random.Random(7)
+    words = "order item user profile image service project release number customer invoice table the with from that this have which their".split()
+    sets = {"hex": "0123456789ABCDEF", "lower": "0123456789abcdefghijklmnopqrstuvwxyz"}
+    rows, kind = [], {}
+    for i in range(2000):
+        text = " ".join(rng.choice(words) for _ in range(30))
+        if i % 10 == 0:
+            kind[i] = (rng.choice(list(sets)), rng.choice([20, 24, 32, 40]))
+            key = "".join(rng.choice(sets[kind[i][0]]) for _ in range(kind[i][1]))
+        else:
+            key = ""
+            while len(key) < 20:
+                key += rng.choice(words) + rng.choice(["", "-", "_"]) + rng.choice(["", str(rng.randint(0, 9)), str(rng.randint(2000, 2030)), f"{rng.randint(0, 99999):08d}"])
+            key += str(rng.randint(0, 9))
+        rows.append((i, f"{text} {key} {text}"))
+    got = {r["doc_id"]: r["n_random"] for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = Counter(kind[i] for i in kind if got[i])
+    share = {k: found[k] / n for k, n in Counter(kind.values()).items()}
+    print(sorted(share.items()), sum(got[i] for i in got if i not in kind))
+    assert all(share[k] >= 0.7 for k in share if k[1] >= 32) and sum(found.values()) >= 0.75 * len(kind)
+    assert sum(got[i] for i in got if i not in kind) <= 0.03 * len(kind)
+
+
 def test_random_strings_are_found_and_ordinary_ones_are_not(spark):
     rng = random.Random(6)
     letters = secret_scan.UPPER + secret_scan.UPPER.lower() + secret_scan.DIGITS
