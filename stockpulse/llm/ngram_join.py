@@ -1,13 +1,13 @@
-"""N-gram Jaccard self-join of texts with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard self-join of texts with MinHash bands and exact verification.
 
 A text is the set of its five-word shingles (lower case, split at white
 space; a shorter text is one shingle).  Texts with equal sets are one node.
-Every node has one MinHash signature prefix in each of ``trees`` prefix tries.
-Matching starts at full depth and is shortened until a pair at the threshold
-meets in some tree with the target recall; nodes below the same trie node are
-candidates.
+Every node has one MinHash band of the same depth in each of ``trees`` tables.
+The depth is the longest at which a pair at the threshold meets in some table
+with the target recall, by formula and not from the data (no LSH forest is
+built); nodes with an equal band are candidates.
 
-A trie node is represented by its smallest member, the pivot.  Two candidates
+A band is represented by its smallest member, the pivot.  Two candidates
 share a pivot, so grouping by pivot keeps every candidate pair while each
 node's shingles travel once a pivot instead of once a tree.  Large groups are
 dealt out as pairs of bounded blocks.  Inside a block pair the exact Jaccard
