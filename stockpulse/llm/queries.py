@@ -136,3 +136,40 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockpulse.llm.lines import dedup_lines
 
     return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), shingled=True).select("doc_id", "n_lines", "n_kept", "dropped_lines")
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_all, CAST(sum(n) AS BIGINT) AS l_all FROM lengths),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * max(n_all) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings CROSS JOIN totals GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT a.item_id, p.doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_all) // l_all)))) AS BIGINT) AS score
+  FROM asked a JOIN postings p USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) CROSS JOIN totals
+  GROUP BY a.item_id, p.doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_block_max_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, out of an index of all documents."""
+    from stockpulse.llm.lexical_search import build_index, rank_documents
+
+    index = build_index(read_table(spark, sf_dir, "documents"))
+    return rank_documents(index, read_table(spark, sf_dir, "benchmark"), k=10).select(
+        "item_id", "rank", F.col("doc").cast("long").alias("doc_id"), "score")
