@@ -173,3 +173,27 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(read_table(spark, sf_dir, "documents"))
     return rank_documents(index, read_table(spark, sf_dir, "benchmark"), k=10).select(
         "item_id", "rank", F.col("doc").cast("long").alias("doc_id"), "score")
+
+
+@query("op12_polarised_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every usable vector; components without variance are none."""
+    from stockpulse.llm.whitening import fit_whitening, whiten
+
+    kept, model = fit_whitening(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=32)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    explained = F.array(*[F.lit(float(e)) for e in model.explained])
+    # a deviation beyond a long is null here; the operator has it in full
+    return whiten(kept, model).select("vec_id", F.expr("try_cast(deviation as long)").alias("deviation"), F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+@query("op11_minimum_cut_text")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; the classifier's odds are counted over all pages."""
+    from stockpulse.llm.page_text import extract_text, fit_blocks
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages, fit_blocks(pages)).select("page_id", "url", F.col("main_text").alias("text"), "n_chars", "kept_blocks", "page_blocks")
