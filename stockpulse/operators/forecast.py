@@ -6,22 +6,19 @@ recursive 8-week feature rollout (F1-F24).
   over a per-SKU array holding at most the last 52 weekly values: no Python,
   no per-SKU loop, and the array size is fixed by the lag depth, not by the
   data volume.
-* The ridge fit is Spark ML ``LinearRegression`` (normal equations: one
-  distributed pass builds the Gram matrix).  Scaling statistics and the
-  small category vocabularies are the only values brought to the driver.
+* The ridge fits (``operators.ridge``) are solved from sufficient statistics
+  of one pass over the weekly table.
 * Predictions stay aligned with their own row (``transform``), which fixes
   the original's week-major/SKU-major misassignment.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import bias, clip, coerce_double, mae, nan_to_null, wape
+from stockpulse.operators.ridge import RidgeModel, RidgeStatistics, sufficient_statistics
 from stockpulse.params import LAGS, Params
 
 # Model inputs.
@@ -38,8 +35,8 @@ TARGET = "units_sold"
 LEAK_FREE_NUMERIC = [c for c in NUMERIC_FEATURES
                      if c not in ("sell_through_proxy", "page_views", "ad_spend", "stockout_days")]
 INTERVAL_Z = 1.28
-MAX_FEATURES, MAX_LABELS = 4_000, 100_000   # what the solver takes; what is held on the driver
 ROLLING_DEPTH = 13
+# The forecast table.
 FORECAST_COLUMNS = [
     "sku_id", "sku_name", "category", "subcategory", "week_start", "horizon_week", "forecast_units",
     "forecast_lower_80", "forecast_upper_80", "baseline_forecast", "avg_unit_price", "unit_cost", "list_price",
@@ -238,92 +235,21 @@ def baseline_run(weekly: DataFrame, params: Params = Params()) -> dict[str, Data
 
 
 # ---------------------------------------------------------------- F4-F7, F16, F21
-class RidgeModel:
-    """Standard scaling (population std) + one-hot with infrequent pooling +
-    closed-form ridge; mirrors the original preprocessing choices."""
-
-    INFREQUENT = "__infrequent__"
-
-    def __init__(self, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, alpha: float = 2.5,
-                 min_frequency: int = 5):
-        self.numeric, self.categorical = list(numeric), list(categorical)
-        self.alpha, self.min_frequency = alpha, min_frequency
-
-    def fit(self, train: DataFrame) -> "RidgeModel":
-        stats = train.agg(*[F.avg(c).alias(f"m_{c}") for c in self.numeric],
-                          *[F.stddev_pop(c).alias(f"s_{c}") for c in self.numeric],
-                          F.stddev_pop(TARGET).alias("_ys"), F.count(F.lit(1)).alias("_n")).first()
-        self.means = {c: float(stats[f"m_{c}"] or 0.0) for c in self.numeric}
-        self.scales = {c: (float(stats[f"s_{c}"]) if stats[f"s_{c}"] else 1.0) for c in self.numeric}
-        n, y_std = int(stats["_n"]), float(stats["_ys"] or 0.0)
-        # category vocabularies in one job: one row per (feature, distinct label),
-        # bounded by the attribute domains, not by the row count
-        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))
-                                    for c in self.categorical])).alias("p")
-        rows = train.select(pairs).groupBy("p.f", "p.v").count().limit(MAX_LABELS + 1).collect()
-        wide = len(self.numeric) + sum(r["count"] >= self.min_frequency for r in rows)
-        if len(rows) > MAX_LABELS or wide > MAX_FEATURES:
-            raise ValueError(f"the normal equations take {MAX_FEATURES} features and {MAX_LABELS} labels at most; "
-                             "raise one_hot_min_frequency or coarsen the categories")
-        self.frequent = {c: sorted(r["v"] for r in rows if r["f"] == c and r["count"] >= self.min_frequency)
-                         for c in self.categorical}
-        self.seen = {c: sorted(r["v"] for r in rows if r["f"] == c) for c in self.categorical}
-        reg = self.alpha * y_std / n if n else 0.0
-        # the labels are known: the indexers are made from them, without another pass over the rows
-        indexers = []
-        for c in self.categorical:
-            pooled = [self.INFREQUENT] if len(self.frequent[c]) < len(self.seen[c]) else []
-            indexers.append(StringIndexerModel.from_labels(sorted(self.frequent[c]) + pooled, inputCol=f"_p_{c}",
-                                                           outputCol=f"_i_{c}", handleInvalid="keep"))
-        staged = PipelineModel(stages=indexers).transform(self._features(train))
-        rest = Pipeline(stages=[
-            OneHotEncoder(inputCols=[f"_i_{c}" for c in self.categorical], outputCols=[f"_oh_{c}" for c in self.categorical],
-                          dropLast=True, handleInvalid="keep"),
-            VectorAssembler(inputCols=[f"_z_{c}" for c in self.numeric] + [f"_oh_{c}" for c in self.categorical],
-                            outputCol="_features"),
-            LinearRegression(featuresCol="_features", labelCol=TARGET, predictionCol="_prediction",
-                             regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal",
-                             fitIntercept=True, tol=1e-11, maxIter=2000),   # absent labels make the equations singular
-        ]).fit(staged)
-        self.pipeline = PipelineModel(stages=[*indexers, *rest.stages])
-        return self
-
-    def _features(self, df: DataFrame) -> DataFrame:
-        cols = {f"_z_{c}": (F.col(c) - F.lit(self.means[c])) / F.lit(self.scales[c]) for c in self.numeric}
-        for c in self.categorical:
-            freq, seen = self.frequent[c], self.seen[c]
-            pooled = (F.when(F.col(c).isin(freq), F.col(c))
-                       .when(F.col(c).isin(seen), F.lit(self.INFREQUENT))
-                       .otherwise(F.col(c)))     # unseen: indexed as invalid -> all-zero one-hot
-            cols[f"_p_{c}"] = pooled
-        return df.withColumns(cols)
-
-    def predict(self, df: DataFrame, out_col: str = "prediction", clipped: bool = True, keep_features: bool = False) -> DataFrame:
-        """row-aligned predictions, clipped at zero; the assembled ``_features`` are kept on request."""
-        scored = self.pipeline.transform(self._features(df))
-        tmp = [c for c in scored.columns if c.startswith(("_z_", "_p_", "_i_", "_oh_"))] + ([] if keep_features else ["_features"])
-        value = F.greatest(F.col("_prediction"), F.lit(0.0)) if clipped else F.col("_prediction")
-        return scored.withColumn(out_col, value).drop(*tmp, "_prediction")
-
-    def coefficients(self):
-        lr = self.pipeline.stages[-1]
-        return lr.intercept, list(lr.coefficients)
-
-
 def ridge_run(weekly: DataFrame, params: Params = Params(), features: str = "full") -> dict[str, DataFrame]:
-    """F4-F7, F9, F13-F16, F21-F22, F24 with the ridge model."""
+    """F4-F7, F9, F13-F16, F21-F22, F24 with the ridge model; both fits are solved from one pass over the weeks."""
     numeric = NUMERIC_FEATURES if features == "full" else LEAK_FREE_NUMERIC
     check_lags(params)
     prepared = prepare(weekly)
-    train, test = holdout_split(prepared, params.horizon_weeks)
-    model = RidgeModel(numeric, CATEGORICAL_FEATURES, params.ridge_alpha, params.one_hot_min_frequency).fit(train)
+    _, test = holdout_split(prepared, params.horizon_weeks)
+    table = sufficient_statistics(prepared, numeric, CATEGORICAL_FEATURES, TARGET,
+                                  F.col("week_start") >= test_start(prepared, params.horizon_weeks))
+    stats = RidgeStatistics(table, numeric, CATEGORICAL_FEATURES, params.one_hot_min_frequency)
+    model, final = [RidgeModel(numeric, CATEGORICAL_FEATURES, params.ridge_alpha, params.one_hot_min_frequency, TARGET).solve(stats, fit)
+                    for fit in ("train", "all")]                                          # F6, F16
     pred = backtest_frame(model.predict(test), F.col("prediction"), params.seasonal_lag_weeks)
-    train_rows = train.select(F.count(F.lit(1))).scalar()
-    final = RidgeModel(numeric, CATEGORICAL_FEATURES, params.ridge_alpha,
-                       params.one_hot_min_frequency).fit(prepared)                        # F16
     future = final.predict(future_frame(prepared, params.horizon_weeks, params.lags))
     fc = forecast_table(future, F.col("prediction"), residual_std(pred), params.seasonal_lag_weeks)
-    return {"backtest": pred, "metrics": metrics(pred, train_rows, params.horizon_weeks), "forecasts": fc,
+    return {"backtest": pred, "metrics": metrics(pred, F.lit(model.rows).cast("bigint"), params.horizon_weeks), "forecasts": fc,
             "model": model, "final_model": final}
 
 

@@ -256,21 +256,39 @@ def ridge_scaling(ctx):
     for c in fc.CATEGORICAL_FEATURES))
 def ridge_vocabulary(ctx):
     """Labels the model saw, and whether they were pooled."""
-    m = _ridge(ctx)["model"]
-    rows = [(c, v, v not in m.frequent[c]) for c in m.categorical for v in m.seen[c]]
-    return ctx.spark.createDataFrame(rows, "feature string, label string, pooled boolean")
+    return _ridge(ctx)["model"].vocabulary()
+
+
+def _gram_sql(side: str) -> str:
+    names = fc.NUMERIC_FEATURES
+    pairs = [f"{{'feature': '{a}', 'other': '{b}', 'product': COALESCE(COVAR_POP({a}, {b}) / NULLIF(STDDEV_POP({a}) * STDDEV_POP({b}), 0), 0)}}"
+             for i, a in enumerate(names) for b in names[i:]]
+    return f"SELECT unnest([{', '.join(pairs)}], recursive := true) FROM split{side}"
+
+
+@register("ridge_gram", covers="F4, F6, F16", r4=["product"], sql=f"""
+SELECT 'train' AS fit, * FROM ({_gram_sql(" WHERE NOT is_test")}) UNION ALL SELECT 'all', * FROM ({_gram_sql("")})""")
+def ridge_gram(ctx):
+    """Mean cross products of the scaled numeric features that both fits were solved with."""
+    rows = []
+    for fit, m in (("train", _ridge(ctx)["model"]), ("all", _ridge(ctx)["final_model"])):
+        names = m.numeric
+        rows += [(fit, a, b, float(m.gram[i, j]) / m.rows) for i, a in enumerate(names) for j, b in enumerate(names) if j >= i]
+    return ctx.spark.createDataFrame(rows, "fit string, feature string, other string, product double")
 
 
 def _gradient(model, frame):
-    """Gradient of the ridge objective at the fitted weights, as a share of each feature's own scale."""
-    b0, w = model.coefficients()
-    scored = model.predict(frame, clipped=False, keep_features=True)
+    """Whether the gradient of the ridge objective vanishes at the fitted weights, from the rows themselves."""
+    _, w = model.coefficients()
     residual = F.col("prediction") - F.col(fc.TARGET)
-    parts = [F.sum(F.get(F.col("_x"), F.lit(i)) * residual) for i in range(len(w))]
-    from pyspark.ml.functions import vector_to_array
-    sums = scored.withColumn("_x", vector_to_array("_features")).agg(F.sum(residual).alias("g0"), F.sum(F.abs(residual)).alias("all"),
-                                                                    *[p.alias(f"g{i + 1}") for i, p in enumerate(parts)]).first()
-    return [(i, bool(abs(sums[f"g{i}"] + (model.alpha * float(w[i - 1]) if i else 0.0)) <= 1e-6 * (1 + sums["all"]))) for i in range(len(w) + 1)]
+    columns = [(F.col(c) - F.lit(model.means[c])) / F.lit(model.scales[c]) for c in model.numeric]
+    for c in model.categorical:
+        frequent = model.frequent[c]
+        columns += [(F.col(c) == v).cast("double") for v in frequent]
+        columns += [(~F.col(c).isin(frequent)).cast("double")] * model.has_pooled[c] + [F.lit(0.0)]
+    sums = model.predict(frame, clipped=False).agg(F.sum(residual).alias("g0"), F.sum(F.abs(residual)).alias("all"),
+                                                   *[F.sum(x * residual).alias(f"g{i + 1}") for i, x in enumerate(columns)]).first()
+    return [(i, bool(abs(sums[f"g{i}"] + (model.alpha * w[i - 1] if i else 0.0)) <= 1e-8 * (1 + sums["all"]))) for i in range(len(w) + 1)]
 
 
 @register("ridge_optimality", covers="F6, F16", sql="""
@@ -306,14 +324,13 @@ def ridge_alignment(ctx):
         value = value + F.lit(float(w[i])) * (F.col(c) - model.means[c]) / model.scales[c]
     at = len(model.numeric)
     for c in model.categorical:
-        labels = [*sorted(model.frequent[c]), *([model.INFREQUENT] if len(model.frequent[c]) < len(model.seen[c]) else [])]
-        pooled = set(model.seen[c]) - set(model.frequent[c])
+        labels = model.labels(c)
         weight = F.lit(0.0)
         for i, label in enumerate(labels):
-            hit = F.col(c).isin(*pooled) if label == model.INFREQUENT else F.col(c) == label
+            hit = ~F.col(c).isin(model.frequent[c]) if label == model.INFREQUENT else F.col(c) == label   # every label of the future was seen
             weight = F.when(hit, F.lit(float(w[at + i]))).otherwise(weight)
         value = value + weight
-        at += len(labels) + 1   # the encoder keeps a place for labels it has not seen
+        at += len(labels) + 1   # a place for labels not seen
     own = future.select("sku_id", "week_start", F.greatest(value, F.lit(0.0)).alias("own"))
     return run["forecasts"].select("sku_id", "week_start", "forecast_units").join(own, ["sku_id", "week_start"]).select(
         "sku_id", "week_start", (F.abs(F.col("own") - F.col("forecast_units")) < 1e-6).alias("aligned"))

@@ -70,7 +70,7 @@ def test_ridge_matches_closed_form(spark):
                          (cat == "a"), (cat == "b"), (cat == "rare")]).astype(float)
     zc, yc = z - z.mean(0), y - y.mean()
     w = np.linalg.solve(zc.T @ zc + 2.5 * np.eye(z.shape[1]), zc.T @ yc)
-    order = m.pipeline.stages[0].labelsArray[0]
+    order = m.labels("c")
     idx = {"a": 2, "b": 3, "__infrequent__": 4}
     expect = [w[0], w[1]] + [w[idx[label]] for label in order]
     # the indexer's own "unknown" slot is an all-zero training column: ridge gives it exactly 0,
