@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.session import materialize
 
-SHARD_BYTES = 16 << 20   # text of a shard (a longer text is a shard of its own)
+SHARD_BYTES = 8 << 20    # text of a shard (a longer text is a shard of its own)
 BLOCK = 128              # postings of a block
 WINDOW = 4_096           # documents that are accumulated at once
 ITEMS_A_BATCH = 1_000
