@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockpulse.functions.selection import exact_medians
 from stockpulse.session import ensure_checkpoint_dir, materialize
 
 
@@ -48,34 +49,8 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
 
 
 def exact_median(df: DataFrame, value: str) -> Column:
-    """The exact median of a column (nulls left out; null if there is none), as a scalar.
-
-    Values are counted first; the counts are range-partitioned by value, and
-    the running total over partitions (one row each) shows which partition
-    holds the middle.  Only that one is ordered, so no task sees more than one
-    partition of distinct values.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-                .repartitionByRange(n, "v").withColumn("pid", F.spark_partition_id()))
-    counts = materialize(counts, "value-counts")
-    parts = counts.groupBy("pid").agg(F.sum("n").alias("pn"))
-    total = F.sum("pn").over(Window.partitionBy())
-    parts = parts.select("pid", total.alias("total"), (F.sum("pn").over(Window.orderBy("pid")) - F.col("pn")).alias("before"), "pn")
-    low, high = F.expr("(total + 1) div 2"), F.expr("(total + 2) div 2")
-    middle = parts.where((F.col("before") < high) & (F.col("before") + F.col("pn") >= low))
-    upto = F.col("before") + F.sum("n").over(Window.partitionBy("pid").orderBy("v"))
-    ranked = counts.join(F.broadcast(middle), "pid").select("v", "n", "total", upto.alias("upto"))  # at most a row a partition
-    holds = lambda r: (F.col("upto") >= r) & (F.col("upto") - F.col("n") < r)
-    picked = ranked.where(holds(low) | holds(high))
-    return picked.select(((F.min("v") + F.max("v")) / 2).alias("m")).scalar()
-
-
-def rank_edges(df: DataFrame, value: str, tie: str, ranks: list[int]) -> list[tuple]:
-    """The (value, tie-break) at some 1-based ranks of the order by both; a narrow pass, a row a rank comes back."""
-    numbered = global_row_number(df.select(value, tie), [value, tie], "rn")
-    found = {r["rn"]: (r[value], r[tie]) for r in numbered.where(F.col("rn").isin([int(r) for r in ranks])).collect()}
-    return [found[r] for r in ranks]
+    """The exact median of a column (nulls left out; null if there is none), by selection (``functions.selection``)."""
+    return F.lit(exact_medians(df, [value])[value]).cast("double")
 
 
 def bucket_by_edges(value: str, tie: str, edges: list[tuple]) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, coerce_bool, coerce_date, coerce_double, with_defaults
-from stockpulse.functions.ranking import exact_median
+from stockpulse.functions.selection import exact_medians
 from stockpulse.sources.io import ORD
 
 # Defaults for optional columns.
@@ -76,8 +76,9 @@ def clean_sku(sku: DataFrame) -> DataFrame:
     df = keep_last(df, ["sku_id"])                                             # C4
     present = [c for c in NUMERIC_SKU if c in df.columns]
     df = df.withColumns({c: coerce_double(df, c) for c in present})            # C9
-    # Global medians, as scalar subqueries
-    df = df.withColumns({c: F.coalesce(F.col(c), exact_median(df, c)) for c in ("unit_cost", "list_price")})
+    # Both global medians from the same passes
+    medians = exact_medians(df, ["unit_cost", "list_price"])
+    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(m).cast("double")) for c, m in medians.items()})
     return df.drop(ORD)
 
 

@@ -4,7 +4,7 @@ The customer aggregate is one ``groupBy("customer_id")`` with partial
 aggregation (the distinct order count is planned as a (customer, order)
 pre-aggregation, so a customer with a third of all orders is still split
 across tasks).  Global scalars (snapshot date, maxima, customer count) are
-scalar subqueries.  Quintiles use the distributed exact rank.
+scalar subqueries.  Quintiles come from selected edge rows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip01, safe_div
-from stockpulse.functions.ranking import bucket_by_edges, qcut_ranks, rank_edges
+from stockpulse.functions.ranking import bucket_by_edges, qcut_ranks
+from stockpulse.functions.selection import select_ranks
 from stockpulse.session import materialize as materialize_table
 
 SEGMENT_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "units", "rfm_score", "segment",
@@ -60,16 +61,14 @@ def _empty_base(sales: DataFrame) -> DataFrame:
 def rfm_scores(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """First-come ranks cut into quintiles; composite score.
 
-    A quintile is decided by four edge rows a measure, so the customer table
-    itself is neither ranked nor rewritten: the narrow (measure, customer)
-    columns are ranked, twelve rows come back, and labels are comparisons.
+    A quintile is decided by four edge rows a measure.  They are selected
+    (``functions.selection``) for all three measures from the same passes over
+    narrow columns; no customer is ranked or rewritten, and labels are
+    comparisons with the edges.
     """
-    ranks = qcut_ranks(base.count())
-    buckets = {}
-    for name, measure in (("r", "recency_days"), ("f", "frequency"), ("m", "monetary")):
-        edges = rank_edges(base, measure, "customer_id", sorted(set(ranks))) if ranks and base.take(1) else []
-        by_rank = dict(zip(sorted(set(ranks)), edges))
-        buckets[name] = bucket_by_edges(measure, "customer_id", [by_rank[r] for r in ranks if r in by_rank])
+    measures = {"r": "recency_days", "f": "frequency", "m": "monetary"}
+    found = select_ranks(base.select("customer_id", *measures.values()), list(measures.values()), qcut_ranks, tie="customer_id")
+    buckets = {name: bucket_by_edges(measure, "customer_id", found[measure]) for name, measure in measures.items()}
     df = base.withColumns({"r_score": (F.lit(6) - buckets["r"]).cast("int"), "f_score": buckets["f"], "m_score": buckets["m"]})
     return df.withColumn("rfm_score", (F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score")).cast("int"))
 
