@@ -14,6 +14,8 @@ executor loss recomputes from the checkpoint rather than re-sampling.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,21 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
     return out.drop("_pid", "_pos", "_off", "_tot")
 
 
+def keep_best(df: DataFrame, keys: list[str], order: str, largest: bool = True) -> DataFrame:
+    """The rows with the largest (or smallest) ``order`` of their key, in the columns of ``df``; null keys are keys.
+
+    The best order of each key is found by a hash aggregate over fixed-width
+    values (``order`` must be a number, date or timestamp), combined before
+    the shuffle, and joined back; whole rows are neither sorted nor held in
+    aggregation buffers.  Rows that share key and order all stay; rows with a
+    null order go.
+    """
+    best = (F.max if largest else F.min)(F.col(f"`{order}`"))
+    found = df.groupBy(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)]).agg(best.alias("_best"))
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)] + [F.col(f"`{order}`") == F.col("_best")]
+    return df.join(found, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def exact_median(df: DataFrame, value: str) -> Column:
     """The exact median of a column (nulls left out; null if there is none), by selection (``functions.selection``)."""
     return F.lit(exact_medians(df, [value])[value]).cast("double")

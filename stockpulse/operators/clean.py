@@ -1,9 +1,8 @@
 """Cleaning of the four extracts.
 
-Keyed "keep the last row" deduplication is a ``groupBy(key).agg(max_by(...))``
-on the ingest ordinal: partial aggregation runs before the shuffle, so a key
-holding a large share of the rows never lands whole in one task (a
-``row_number`` window would).
+Keyed "keep the last row" deduplication maximises the ingest ordinal by key in
+a hash aggregate (combined before the shuffle) and joins the winners back; AQE
+splits a key that holds a large share of the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, coerce_bool, coerce_date, coerce_double, with_defaults
+from stockpulse.functions.ranking import keep_best
 from stockpulse.functions.selection import exact_medians
 from stockpulse.sources.io import ORD
 
@@ -42,12 +42,8 @@ def need_order(df: DataFrame) -> DataFrame:
 
 
 def keep_last(df: DataFrame, keys: list[str], order_col: str = ORD) -> DataFrame:
-    """C4: one row per key, the one latest in ``order_col`` (file order)."""
-    others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
-    return (df.groupBy(*keys)
-              .agg(F.max_by(packed, F.col(order_col)).alias("_last"))
-              .select(*keys, *[F.col("_last")[c].alias(c) for c in others]))
+    """C4: one row per key, the one latest in ``order_col`` (file order, a number that is different in every row)."""
+    return keep_best(df, keys, order_col)
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:

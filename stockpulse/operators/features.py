@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, safe_div, week_floor
-from stockpulse.functions.ranking import exact_median
+from stockpulse.functions.ranking import exact_median, keep_best
 from stockpulse.params import Params
 from stockpulse.session import materialize as materialize_table
 
@@ -65,12 +65,10 @@ def weekly_calendar(cal: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(inv: DataFrame) -> DataFrame:
-    """Latest snapshot per (sku, week) with a partial-aggregating max_by."""
+    """Latest snapshot per (sku, week); a cleaned SKU has one snapshot a day."""
     cols = INVENTORY_COLS + ["warehouse_zone"]
-    return (inv.withColumn("week_start", week_floor("date"))
-               .groupBy("sku_id", "week_start")
-               .agg(F.max_by(F.struct(*cols), F.col("date")).alias("_s"))
-               .select("sku_id", "week_start", *[F.col("_s")[c].alias(c) for c in cols]))
+    latest = keep_best(inv.select("sku_id", week_floor("date").alias("week_start"), "date", *cols), ["sku_id", "week_start"], "date")
+    return latest.select("sku_id", "week_start", *cols)
 
 
 def week_bounds(ws: DataFrame):

@@ -169,12 +169,11 @@ def future_frame(prepared: DataFrame, horizon: int, lags=LAGS) -> DataFrame:
     depth = max(*lags, ROLLING_DEPTH)
     last_week = prepared.select(F.max("week_start")).scalar()
     recent = Window.partitionBy("sku_id").orderBy(F.desc("week_start"))
-    per_sku = (prepared.withColumn("_r", F.row_number().over(recent))
-                       .where(F.col("_r") <= depth)
-                       .groupBy("sku_id")
-                       .agg(F.max_by(F.struct(*[c for c in prepared.columns if c != "sku_id"]),
-                                     F.col("week_start")).alias("_last"),
-                            F.sort_array(F.collect_list(F.struct("week_start", TARGET))).alias("_h")))
+    ranked = prepared.withColumn("_r", F.row_number().over(recent))
+    last = ranked.where(F.col("_r") == 1).select("sku_id", F.struct(*[c for c in prepared.columns if c != "sku_id"]).alias("_last"))   # F17
+    history = (ranked.where(F.col("_r") <= depth).groupBy(F.col("sku_id").alias("_sku"))
+                     .agg(F.sort_array(F.collect_list(F.struct("week_start", TARGET))).alias("_h")))
+    per_sku = last.join(history, F.col("sku_id") == F.col("_sku"))   # both sides are partitioned by SKU already
     hist = F.transform("_h", lambda s: s[TARGET].cast("double"))
     # whole recurrence: hist ++ [m1, m2, ..., mH]
     rolled = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), hist,

@@ -26,6 +26,7 @@ SAFETY_LEAD_SHARE = 0.35
 EXCESS_COVER = 1.45
 PRIORITY_WEIGHTS = (0.48, 0.32, 0.20)
 
+# The risk table, and what its first forecast row gives.
 RISK_COLUMNS = [
     "sku_id", "sku_name", "category", "subcategory", "forecast_8w_units", "forecast_leadtime_units",
     "available_units", "on_hand_units", "on_order_units", "lead_time_days", "reorder_point", "stockout_risk",
@@ -41,14 +42,16 @@ FIRST_ROW_DEFAULTS = {"damaged_units": 0.0, "reserved_units": 0.0, "sku_name": N
 
 def score_risk(forecasts: DataFrame, params: Params = Params(), sort: bool = True) -> DataFrame:
     forecasts = with_defaults(forecasts, FIRST_ROW_DEFAULTS)
-    g = forecasts.groupBy("sku_id").agg(
-        F.min_by(F.struct(*FIRST_ROW), F.col("horizon_week")).alias("f"),                       # K1
-        F.max("horizon_week").alias("max_h"),
+    g = forecasts.groupBy(F.col("sku_id").alias("_sku")).agg(
+        F.min("horizon_week").alias("min_h"), F.max("horizon_week").alias("max_h"),
         F.sort_array(F.collect_list(F.struct("horizon_week", "forecast_units"))).alias("fc"),
         F.sum("forecast_units").alias("demand_horizon"),                                          # K4
         F.stddev_samp("forecast_units").alias("fc_std"),
         F.avg("forecast_units").alias("fc_mean"),
     )
+    # K1: the row of the first horizon week, joined back on the winner
+    first = forecasts.select("sku_id", "horizon_week", F.struct(*FIRST_ROW).alias("f"))
+    g = first.join(g, (F.col("sku_id") == F.col("_sku")) & (F.col("horizon_week") == F.col("min_h")))
     f = lambda c: F.col("f")[c]
     lead_weeks = F.greatest(F.lit(1), F.least(F.ceil(f("lead_time_days") / 7.0), F.col("max_h"))).cast("int")  # K2
     demand_lead = F.aggregate(F.slice("fc", 1, lead_weeks), F.lit(0.0),

@@ -120,9 +120,8 @@ def sku_keys(t: dict[str, DataFrame], grain: str = "brand_type") -> DataFrame:
 def sku_master(t: dict[str, DataFrame], grain: str = "brand_type", keep_sku_no: bool = False) -> DataFrame:
     p = t["part"]
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    g = p.groupBy(sku_id_col(grain).alias("sku_id")).agg(
-        F.first("p_brand").alias("brand"),   # constant within a brand|type SKU
-        F.first("p_type").alias("ptype"),
+    # brand and type are constant within a SKU of either grain, so they can be keys
+    g = p.groupBy(sku_id_col(grain).alias("sku_id"), F.col("p_brand").alias("brand"), F.col("p_type").alias("ptype")).agg(
         F.sum(cents).alias("_cents"),
         F.count(F.lit(1)).alias("_n"),
         F.min("p_partkey").alias("sku_no"),

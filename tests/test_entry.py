@@ -115,3 +115,16 @@ def test_without_the_corpus_operators(tmp_path):
                 (to / f).write_bytes(open(os.path.join(d, f), "rb").read())
     code = "import __spark_entry__ as E; q = E.queries(); assert 'risk_scores' in q and 'pipeline' not in q and not [x for x in q if x.startswith('op')]; E.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": ""})
+
+
+def test_hash_aggregates_only(spark):
+    """Keep-last, latest, last and first rows are found without sorting whole rows into aggregates."""
+    from stockpulse.operators import forecast, risk
+    ctx = Context(spark, SF0001)
+    inv = clean.clean_inventory(ctx.dirty_inventory)
+    weekly = materialize(ctx.weekly)
+    future = forecast.future_frame(forecast.prepare(weekly), 8)
+    fc = materialize(forecast.baseline_run(weekly)["forecasts"])
+    for df in (inv, features.latest_snapshot(inv), future, risk.score_risk(fc), clean.clean_calendar(ctx.raw["calendar"]), ctx.raw["sku_master"]):
+        plan = plan_of(df)
+        assert "Aggregate" in plan and "SortAggregate" not in plan, plan
