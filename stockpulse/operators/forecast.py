@@ -240,9 +240,9 @@ def ridge_run(weekly: DataFrame, params: Params = Params(), features: str = "ful
     check_lags(params)
     prepared = prepare(weekly)
     _, test = holdout_split(prepared, params.horizon_weeks)
-    table = sufficient_statistics(prepared, numeric, CATEGORICAL_FEATURES, TARGET,
+    found = sufficient_statistics(prepared, numeric, CATEGORICAL_FEATURES, TARGET,
                                   F.col("week_start") >= test_start(prepared, params.horizon_weeks))
-    stats = RidgeStatistics(table, numeric, CATEGORICAL_FEATURES, params.one_hot_min_frequency)
+    stats = RidgeStatistics(found, numeric, CATEGORICAL_FEATURES, params.one_hot_min_frequency)
     model, final = [RidgeModel(numeric, CATEGORICAL_FEATURES, params.ridge_alpha, params.one_hot_min_frequency, TARGET).solve(stats, fit)
                     for fit in ("train", "all")]                                          # F6, F16
     pred = backtest_frame(model.predict(test), F.col("prediction"), params.seasonal_lag_weeks)

@@ -1,10 +1,11 @@
 """Ridge regression from sufficient statistics.
 
 One pass over the rows gives, for the train and the test weeks apart, the
-count, mean, range and centred cross products of every numeric feature and the
-target, the same by category label, and the counts of label pairs.  All are
-built-in aggregates that combine before the shuffle; the result has a row for
-each feature, label and pair of labels, whatever the number of rows.  What
+count, sums, ranges and cross products of all numeric features and the target
+(a block of the Gram matrix), the sums by category label, and the counts of
+label pairs.  All are sums that combine before the shuffle, in generated code;
+the result has a row for each feature, label and pair of labels, whatever the
+number of rows.  What
 holds for all weeks follows by adding the two sides up, so both fits are
 solved from the same scan.
 
@@ -23,48 +24,59 @@ from pyspark.sql import functions as F
 from stockpulse.session import materialize
 
 MAX_FEATURES = 4_000        # columns of the dense equations that the driver solves
+CENTRE_ROWS = 1_000         # rows whose mean is the provisional centre
 FITS = ("train", "all")
 
 
 def sufficient_statistics(rows: DataFrame, numeric: list[str], categorical: list[str], target: str,
-                          is_test: Column | None = None) -> DataFrame:
-    """The written statistics: (``is_test``, ``a``, ``va``, ``b``, ``vb``, ``n``, ``lo``, ``hi``, ``mean``, ``cov``).
-
-    ``a`` numbers the numeric features, the target and the categorical
-    features, in this order.  A numeric row has its covariances with all
-    numeric features and the target; a label row (``va``) and a row of two
-    labels (``b``, ``vb``) have the means of these over their rows.
+                          is_test: Column | None = None) -> tuple[DataFrame, list[float]]:
+    """The written statistics, and the centre they were taken about.
+
+    A row has (``is_test``, ``a``, ``va``, ``b``, ``vb``, ``n``, ``lo``,
+    ``hi``, ``sums``); ``a`` numbers the numeric features, the target and the
+    categorical features, in this order.  ``sums`` are, for all numeric
+    features and the target, the sums of their centred values: over all rows
+    (``a`` is -1), over the rows of a label (``va``) or of two labels
+    (``b``, ``vb``), and times a numeric feature's own centred value.
+
+    The centre is the mean of a few rows; it takes away most of what would
+    cancel, and the rest of the mean goes in ``RidgeStatistics``.
     """
     z = [*numeric, target]
+    few = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"z{j}") for j, c in enumerate(z)]).limit(CENTRE_ROWS)
+    centre = [float(v or 0.0) for v in few.agg(*[F.avg(f"z{j}") for j in range(len(z))]).first()]
     none, nothing = F.lit(None).cast("string"), F.lit(-1)
     label = [F.col(f"`{c}`").cast("string") for c in categorical]
+    value = [F.col(f"`{c}`").cast("double") for c in z]
 
-    def part(a: int, va: Column, b: Column, vb: Column, x: Column) -> Column:
-        return F.struct(F.lit(a).alias("a"), va.alias("va"), b.alias("b"), vb.alias("vb"), x.alias("x"))
+    def part(a: int, va: Column, b: Column, vb: Column, x: Column, raw: Column) -> Column:
+        return F.struct(F.lit(a).alias("a"), va.alias("va"), b.alias("b"), vb.alias("vb"), x.alias("x"), raw.alias("raw"))
 
-    parts = [part(i, none, nothing, none, F.col(f"`{c}`").cast("double")) for i, c in enumerate(z)]
-    parts += [part(len(z) + i, v, nothing, none, F.lit(1.0)) for i, v in enumerate(label)]
-    parts += [part(len(z) + i, label[i], F.lit(len(z) + j), label[j], F.lit(1.0)) for i, j in itertools.combinations(range(len(label)), 2)]
+    one, no = F.lit(1.0), F.lit(None).cast("double")
+    parts = [part(-1, none, nothing, none, one, no)]
+    parts += [part(i, none, nothing, none, v - F.lit(m), v) for i, (v, m) in enumerate(zip(value, centre))]
+    parts += [part(len(z) + i, v, nothing, none, one, no) for i, v in enumerate(label)]
+    parts += [part(len(z) + i, label[i], F.lit(len(z) + j), label[j], one, no) for i, j in itertools.combinations(range(len(label)), 2)]
     side = F.lit(False) if is_test is None else is_test
-    each = rows.select(side.alias("is_test"), *[F.col(f"`{c}`").cast("double").alias(f"z{j}") for j, c in enumerate(z)], F.explode(F.array(*parts)).alias("p"))
-    x = F.col("p.x")
+    each = rows.select(side.alias("is_test"), *[(v - F.lit(m)).alias(f"z{j}") for j, (v, m) in enumerate(zip(value, centre))], F.explode(F.array(*parts)).alias("p"))
     sums = each.groupBy("is_test", "p.a", "p.va", "p.b", "p.vb").agg(
-        F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-        *[F.avg(f"z{j}").alias(f"m{j}") for j in range(len(z))], *[F.covar_pop(x, F.col(f"z{j}")).alias(f"c{j}") for j in range(len(z))])
-    return materialize(sums.select("is_test", "a", "va", "b", "vb", "n", "lo", "hi", F.array(*[f"m{j}" for j in range(len(z))]).alias("mean"),
-                                   F.array(*[f"c{j}" for j in range(len(z))]).alias("cov")), "ridge-statistics")
+        F.count(F.lit(1)).alias("n"), F.min("p.raw").alias("lo"), F.max("p.raw").alias("hi"), *[F.sum(F.col("p.x") * F.col(f"z{j}")).alias(f"s{j}") for j in range(len(z))])
+    table = materialize(sums.select("is_test", "a", "va", "b", "vb", "n", "lo", "hi", F.array(*[f"s{j}" for j in range(len(z))]).alias("sums")), "ridge-statistics")
+    return table, centre
 
 
 class RidgeStatistics:
     """What the fits need on the driver, read from the written statistics in three small aggregates."""
 
-    def __init__(self, table: DataFrame, numeric: list[str], categorical: list[str], min_frequency: int):
+    def __init__(self, statistics: tuple[DataFrame, list[float]], numeric: list[str], categorical: list[str], min_frequency: int):
+        table, centre = statistics
+        self.centre = np.array(centre)
         self.table, self.numeric, self.categorical, self.min_frequency = table, list(numeric), list(categorical), min_frequency
         self.width = len(self.numeric) + 1
         fit = F.explode(F.when(F.col("is_test"), F.array(F.lit("all"))).otherwise(F.array(*map(F.lit, FITS)))).alias("fit")
         # every label of a fit with its count, and whether it is pooled
-        by_label = table.where((F.col("b") < 0) & (F.col("a") >= self.width)).select(fit, "a", "va", "n", "mean")
-        means = [F.sum(F.col("n") * F.get("mean", F.lit(j))) for j in range(self.width)]
+        by_label = table.where((F.col("b") < 0) & (F.col("a") >= self.width)).select(fit, "a", "va", "n", "sums")
+        means = [F.sum(F.get("sums", F.lit(j))) for j in range(self.width)]
         self.labels = by_label.groupBy("fit", "a", "va").agg(F.sum("n").alias("n"), F.array(*means).alias("sums")).withColumn("pooled", F.col("n") < min_frequency)
         kept = F.when(~F.col("pooled"), F.col("va")).alias("label")
         rows = self.labels.groupBy("fit", "a", "pooled", kept).agg(
@@ -84,22 +96,22 @@ class RidgeStatistics:
             self.sides.setdefault(r["is_test"], []).append(r)
 
     def moments(self, fit: str) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-        """Count, means, centred cross products and whether constant, of the numeric features and the target."""
-        n, mean, products = 0, np.zeros(self.width), np.zeros((self.width, self.width))
+        """Count, means about the centre, centred cross products and whether constant, of the numeric features and the target."""
+        n, first, products = 0, np.zeros(self.width), np.zeros((self.width, self.width))
         lo, hi = np.full(self.width, np.inf), np.full(self.width, -np.inf)
         for test in (False, True)[:1 if fit == "train" else 2]:
             rows = self.sides.get(test)
-            if not rows:
-                continue
-            m, own = rows[0]["n"], np.array(rows[0]["mean"])
-            shift = own - mean
-            products += m * np.array([r["cov"] for r in rows]) + np.outer(shift, shift) * (n * m / (n + m))
-            mean, n = mean + shift * (m / (n + m)), n + m
-            lo, hi = np.minimum(lo, [r["lo"] for r in rows]), np.maximum(hi, [r["hi"] for r in rows])
+            if rows:
+                n += rows[0]["n"]
+                first += np.array(rows[0]["sums"])
+                products += np.array([r["sums"] for r in rows[1:]])
+                lo, hi = np.minimum(lo, [r["lo"] for r in rows[1:]]), np.maximum(hi, [r["hi"] for r in rows[1:]])
+        shift = first / max(n, 1)
+        products -= np.outer(first, shift)
         constant = lo >= hi
-        mean = np.where(constant & (n > 0), np.where(np.isfinite(lo), lo, 0.0), mean)
+        shift = np.where(constant & np.isfinite(lo), lo - self.centre, shift)
         products[constant, :] = products[:, constant] = 0.0
-        return n, mean, (products + products.T) / 2, constant
+        return n, shift, (products + products.T) / 2, constant
 
 
 class RidgeModel:
@@ -113,15 +125,15 @@ class RidgeModel:
 
     def fit(self, train: DataFrame) -> "RidgeModel":
         """Fit on all rows of one frame."""
-        table = sufficient_statistics(train, self.numeric, self.categorical, self.target)
-        return self.solve(RidgeStatistics(table, self.numeric, self.categorical, self.min_frequency), "train")
+        found = sufficient_statistics(train, self.numeric, self.categorical, self.target)
+        return self.solve(RidgeStatistics(found, self.numeric, self.categorical, self.min_frequency), "train")
 
     def solve(self, stats: RidgeStatistics, fit: str) -> "RidgeModel":
         """The normal equations of one fit, from statistics of all rows."""
         self.statistics, self.fitted = stats, fit
-        n, mean, products, constant = stats.moments(fit)
-        p = len(self.numeric)
-        deviation = np.sqrt(np.diag(products) / max(n, 1))
+        n, shift, products, constant = stats.moments(fit)
+        p, mean = len(self.numeric), stats.centre + shift
+        deviation = np.sqrt(np.maximum(np.diag(products), 0.0) / max(n, 1))
         scale = np.where(constant | (deviation == 0), 1.0, deviation)
         self.rows = n
         self.means = dict(zip(self.numeric, map(float, mean)))
@@ -136,7 +148,7 @@ class RidgeModel:
         right[:p] = products[:p, p] / scale[:p]
         counts = np.array([r["n"] for r in rows], float)
         for k, r in enumerate(rows):
-            about = np.where(constant, 0.0, np.array(r["sums"]) - r["n"] * mean)
+            about = np.where(constant, 0.0, np.array(r["sums"]) - r["n"] * shift)
             gram[p + k, :p] = gram[:p, p + k] = about[:p] / scale[:p]
             right[p + k] = about[p]
         if rows:

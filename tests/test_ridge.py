@@ -55,8 +55,8 @@ def test_both_fits_equal_plain_ridge_for_any_partitions(spark, parts):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", min(parts, 64))
     try:
-        table = sufficient_statistics(frame(spark, parts), NUMERIC, CATEGORICAL, "units_sold", F.col("test"))
-        stats = RidgeStatistics(table, NUMERIC, CATEGORICAL, 5)
+        found = sufficient_statistics(frame(spark, parts), NUMERIC, CATEGORICAL, "units_sold", F.col("test"))
+        stats = RidgeStatistics(found, NUMERIC, CATEGORICAL, 5)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     for fit, data in (("train", [r for r in rows() if not r[6]]), ("all", rows())):
@@ -87,9 +87,9 @@ def test_fits_read_the_rows_once(spark, tmp_path):
     """Both fits are solved after the rows are gone: the statistics of one pass hold all they need."""
     path = str(tmp_path / "rows")
     frame(spark, 3).write.parquet(path)
-    table = sufficient_statistics(spark.read.parquet(path), NUMERIC, CATEGORICAL, "units_sold", F.col("test"))
+    found = sufficient_statistics(spark.read.parquet(path), NUMERIC, CATEGORICAL, "units_sold", F.col("test"))
     shutil.rmtree(path)
-    stats = RidgeStatistics(table, NUMERIC, CATEGORICAL, 5)
+    stats = RidgeStatistics(found, NUMERIC, CATEGORICAL, 5)
     assert all(RidgeModel(NUMERIC, CATEGORICAL).solve(stats, fit).rows for fit in ("train", "all"))
 
 
