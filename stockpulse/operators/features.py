@@ -11,13 +11,14 @@ bounded by the number of weeks in the date range.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, safe_div, week_floor
 from stockpulse.functions.ranking import exact_median, keep_best
 from stockpulse.params import Params
 from stockpulse.session import materialize as materialize_table
+from stockpulse.sources.store import read_manifest, read_stored, write_stored
 
 MAX_WEEKS = 52 * 100   # a longer range means a broken date, which would multiply the spine
 # The measures that are zero in weeks without sales, the snapshot columns, the rolling statistics.
@@ -77,13 +78,14 @@ def week_bounds(ws: DataFrame):
     return b["lo"], b["hi"]
 
 
-def dense_spine(sku: DataFrame, ws: DataFrame) -> DataFrame:
+def dense_spine(sku: DataFrame, ws: DataFrame, bounds: tuple | None = None) -> DataFrame:
     """W5-W6 (+W9): every master SKU x every week from the first to the last sales week.
 
     The SKU attributes ride along, which is the left join with the master
-    (sku ids are unique after cleaning).
+    (sku ids are unique after cleaning).  ``bounds`` (two columns) spares the
+    look at the sales where the weeks are known.
     """
-    lo, hi = week_bounds(ws)
+    lo, hi = bounds or week_bounds(ws)
     weeks = F.datediff(hi, lo) / 7
     message = F.concat(F.lit(f"the sales span more than {MAX_WEEKS} weeks: "), lo.cast("string"), F.lit(" to "), hi.cast("string"))
     last = F.when(weeks <= MAX_WEEKS, hi).otherwise(F.raise_error(message).cast("date"))
@@ -103,12 +105,41 @@ def joined_week(cleaned: dict[str, DataFrame], ws: DataFrame | None = None) -> D
     ws = ws if ws is not None else weekly_sales(cleaned["sales_daily"])
     wc = weekly_calendar(cleaned["calendar"])
     wi = latest_snapshot(cleaned["inventory_snapshots"])
-    df = reindexed(dense_spine(cleaned["sku_master"], ws), ws)
+    return assemble(cleaned["sku_master"], ws, wc, wi)
+
+
+def assemble(sku: DataFrame, ws: DataFrame, wc: DataFrame, wi: DataFrame, bounds: tuple | None = None) -> DataFrame:
+    """W5-W11 over the weekly tables."""
+    df = reindexed(dense_spine(sku, ws, bounds), ws)
     # one row per week of a checked date range (MAX_WEEKS): a bounded broadcast
     df = df.join(F.broadcast(wc), "week_start", "left")
     return df.join(wi, ["sku_id", "week_start"], "left")
 
 
+# ---------------------------------------------------------------- over stored tables
+def store_weekly(cleaned: dict[str, DataFrame], folder: str, buckets: int, ws: DataFrame | None = None) -> dict[str, str]:
+    """The SKU master, weekly sales and latest snapshots kept by SKU, the weekly calendar beside them."""
+    ws = ws if ws is not None else weekly_sales(cleaned["sales_daily"])
+    tables = {"sku_master": (cleaned["sku_master"], ["sku_id"], {}),
+              "weekly_sales": (ws, ["sku_id", "week_start"], {"first_week": F.min("week_start"), "last_week": F.max("week_start")}),
+              "weekly_stock": (latest_snapshot(cleaned["inventory_snapshots"]), ["sku_id", "week_start"], {})}
+    paths = {name: write_stored(df, f"{folder.rstrip('/')}/{name}", by_sku=buckets, sort_by=order, facts=facts) for name, (df, order, facts) in tables.items()}
+    return paths | {"weekly_calendar": write_stored(weekly_calendar(cleaned["calendar"]), f"{folder.rstrip('/')}/weekly_calendar")}
+
+
+def features_from_store(spark: SparkSession, paths: dict[str, str], params: Params = Params()) -> DataFrame:
+    """W5-W20 over ``store_weekly``'s tables.
+
+    Joins and windows find the rows of a SKU in its bucket; plan it inside
+    ``store.in_place_joins`` to have no exchange of rows at all.
+    """
+    t = {name: read_stored(spark, path) for name, path in paths.items()}
+    facts = read_manifest(spark, paths["weekly_sales"])["facts"]
+    bounds = tuple(F.lit(facts[n]).cast("date") for n in ("first_week", "last_week"))
+    df = assemble(t["sku_master"], t["weekly_sales"], t["weekly_calendar"], t["weekly_stock"], bounds)
+    return with_history(df, params)
+
+
 def fill_inventory(df: DataFrame, fill_scope: str = "sku") -> DataFrame:
     """Forward fill then back fill of the snapshot columns per SKU."""
     # Both fills are running frames (O(n) per SKU): the back fill is a
@@ -209,7 +240,11 @@ def calendar_fallbacks(df: DataFrame) -> DataFrame:
 def pre_fill_features(cleaned: dict[str, DataFrame], params: Params = Params(),
                       ws: DataFrame | None = None) -> DataFrame:
     """Everything up to and including the raw lags and rolling statistics."""
-    df = joined_week(cleaned, ws)
+    return with_history(joined_week(cleaned, ws), params)
+
+
+def with_history(df: DataFrame, params: Params = Params()) -> DataFrame:
+    """W13-W20."""
     df = fill_inventory(df, params.fill_scope)
     df = price_margin(df)
     df = add_lags(df, params.lags)

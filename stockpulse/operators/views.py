@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from stockpulse.functions import fmt
 from stockpulse.functions.columns import col
 from stockpulse.operators.risk import ACTION_HEALTHY, ACTION_MARKDOWN, ACTION_REORDER, ACTION_WATCH
+from stockpulse.sources import store
 
 ACTIONS = [ACTION_HEALTHY, ACTION_MARKDOWN, ACTION_REORDER, ACTION_WATCH]
 
@@ -622,17 +623,12 @@ def portfolio_summary(risk: DataFrame) -> DataFrame:
 
 
 def output_ready(spark, paths: dict[str, str]) -> DataFrame:
-    """A1: whether each output table can be read."""
-    from pyspark.errors import AnalysisException
-
+    """A1: whether each output table is whole, what it is otherwise (``store.state``), and its rows by the manifest."""
     status = []
     for name, path in paths.items():
-        try:
-            spark.read.parquet(path).schema
-            status.append((name, True))
-        except AnalysisException:
-            status.append((name, False))
-    return spark.createDataFrame(status, "table string, ready boolean")
+        found, manifest = store.state(spark, path)
+        status.append((name, found == "ready", found, manifest["rows"] if manifest else None))
+    return spark.createDataFrame(status, "table string, ready boolean, state string, rows long")
 
 
 def data_profile(weekly: DataFrame, customers: DataFrame, forecasts: DataFrame) -> DataFrame:

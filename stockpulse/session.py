@@ -82,6 +82,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 _TABLES: list[str] = []
 
 
+def keep_until_release(path: str) -> str:
+    """Have a folder that is written otherwise removed with the materialized tables."""
+    _TABLES.append(path)
+    return path
+
+
 def release_tables() -> None:
     """Remove the tables written by ``materialize`` in this process; frames that read them can't be used afterwards.
 
