@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import clip, coerce_bool, coerce_date, coerce_double, with_defaults
+from stockpulse.functions.dedup import distinct_rows
 from stockpulse.functions.ranking import keep_best
 from stockpulse.functions.selection import exact_medians
 from stockpulse.sources.io import ORD
@@ -46,11 +47,17 @@ def keep_last(df: DataFrame, keys: list[str], order_col: str = ORD) -> DataFrame
     return keep_best(df, keys, order_col)
 
 
-def clean_sales(sales: DataFrame) -> DataFrame:
+def clean_sales(sales: DataFrame, by_digest: bool = False) -> DataFrame:
+    """The cleaned sales.
+
+    ``by_digest`` suits extracts read from files: duplicates are found by
+    digests, and unique rows are not shuffled.  Rows out of a join already lie
+    together by order, which the plain removal uses.
+    """
     df = sales.drop(ORD) if ORD in sales.columns else sales
     df = df.withColumn("date", coerce_date(df, "date"))                       # C1
     df = df.dropna(subset=["date", "sku_id"])                                  # C2
-    df = df.dropDuplicates()                                                   # C3 (raw values)
+    df = distinct_rows(df) if by_digest else df.dropDuplicates()               # C3 (raw values)
     present = [c for c in NUMERIC_SALES if c in df.columns]
     df = df.withColumns({c: F.coalesce(coerce_double(df, c), F.lit(0.0)) for c in present})  # C5
     df = df.withColumns({

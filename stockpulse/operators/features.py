@@ -221,9 +221,24 @@ def sell_through_cover(df: DataFrame, mean_units) -> DataFrame:
 
 
 def median_fill(df: DataFrame, cols: list[str], global_median) -> DataFrame:
-    """Per-SKU median of each column, then the global median of units."""
-    per_sku = Window.partitionBy("sku_id")
-    return df.withColumns({c: F.coalesce(F.col(c), F.median(c).over(per_sku), global_median) for c in cols})
+    """Per-SKU median of each column, then the global median of units.
+
+    The rows are dealt by SKU once.  One aggregate folds a SKU's columns into
+    an array a week (bounded by ``MAX_WEEKS``) and reads the medians off the
+    sorted columns; they meet the rows again in place, by a hash join.
+    """
+    dealt = df.repartition(F.col("sku_id"))
+    folded = dealt.groupBy(F.col("sku_id").alias("_sku")).agg(F.collect_list(F.struct(*cols)).alias("_all"))
+
+    def median(c: str):
+        known = F.sort_array(F.filter(F.transform("_all", lambda w: w[c].cast("double")), lambda x: x.isNotNull()))
+        at = lambda i: F.get(known, i.cast("int"))
+        n = F.size(known)
+        return F.when(n > 0, (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2)
+
+    medians = folded.select("_sku", *[median(c).alias(f"_m_{c}") for c in cols])
+    met = dealt.join(medians.hint("shuffle_hash"), F.col("sku_id") == F.col("_sku"), "left")
+    return met.select(*[F.coalesce(F.col(c), F.col(f"_m_{c}"), global_median).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def calendar_fallbacks(df: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions import fmt
 from stockpulse.functions.columns import col
+from stockpulse.functions.dedup import distinct_count
 from stockpulse.operators.risk import ACTION_HEALTHY, ACTION_MARKDOWN, ACTION_REORDER, ACTION_WATCH
 from stockpulse.sources import store
 
@@ -207,14 +208,41 @@ def _z_for(service_level: Column) -> Column:
     return F.coalesce(F.element_at(z_map, F.round(service_level, 2)), F.lit(DEFAULT_Z))
 
 
-def scenario_array(scenarios: list[dict]) -> Column:
-    """A literal array of scenario structs (discount %, ad %, lead-time days, service level)."""
-    return F.array(*[F.struct(F.lit(int(s.get("scenario_id", i))).alias("scenario_id"),
-                              F.lit(float(s.get("discount_change", 0))).alias("discount_change"),
-                              F.lit(float(s.get("ad_change", 0))).alias("ad_change"),
-                              F.lit(float(s.get("lead_time_change", 0))).alias("lead_time_change"),
-                              F.lit(float(s.get("service_level", 0.92))).alias("service_level"))
-                     for i, s in enumerate(scenarios)])
+# A scenario's fields and what a missing one means (discount %, ad %, lead-time days, service level).
+SCENARIO_FIELDS = {"discount_change": 0.0, "ad_change": 0.0, "lead_time_change": 0.0, "service_level": 0.92}
+SCENARIOS_A_BLOCK, BROADCAST_SCENARIOS = 1_000, 200_000
+
+
+def scenario_table(spark: SparkSession, scenarios: list[dict]) -> DataFrame:
+    """Scenarios given as dictionaries, as the table the sweep takes."""
+    rows = [(int(s.get("scenario_id", i)), *[float(s.get(f, d)) for f, d in SCENARIO_FIELDS.items()]) for i, s in enumerate(scenarios)]
+    return spark.createDataFrame(rows, "scenario_id int, " + ", ".join(f"{f} double" for f in SCENARIO_FIELDS))
+
+
+def each_scenario(df: DataFrame, scenarios: DataFrame | list[dict], broadcast_scenarios: int = BROADCAST_SCENARIOS) -> DataFrame:
+    """Every row of ``df`` under every scenario, as the struct ``sc``.
+
+    Scenarios become blocks of bounded arrays.  A row meets each block once,
+    by a join on the block's number, and the array is unfolded there, so no
+    SKU or scenario is a hot key: up to ``broadcast_scenarios`` (they are
+    counted) the blocks go to every task; beyond, each block has a copy for
+    each of several salts, and rows spread over them.  Null fields take their
+    defaults, repeated ids stay.
+    """
+    if isinstance(scenarios, list):
+        scenarios = scenario_table(df.sparkSession, scenarios)
+    fields = F.struct(F.col("scenario_id"), *[F.coalesce(F.col(f).cast("double"), F.lit(d)).alias(f) for f, d in SCENARIO_FIELDS.items()])
+    n = scenarios.count()
+    blocks = max(1, -(-n // SCENARIOS_A_BLOCK))
+    few = n <= broadcast_scenarios
+    salts = 1 if few else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folded = (scenarios.select(F.pmod(F.xxhash64("scenario_id", *SCENARIO_FIELDS), F.lit(blocks)).cast("int").alias("_block"), fields.alias("s"))
+              .groupBy("_block").agg(F.collect_list("s").alias("_scenarios"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    rows = df.withColumns({"_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    met = rows.join(F.broadcast(folded) if few else folded, ["_block", "_salt"])
+    return met.select(*df.columns, F.explode("_scenarios").alias("sc"))
 
 
 def recent_demand_std(weekly: DataFrame, weeks: int = HISTORY_WEEKS_FOR_STD) -> DataFrame:
@@ -224,16 +252,11 @@ def recent_demand_std(weekly: DataFrame, weeks: int = HISTORY_WEEKS_FOR_STD) ->
                   .groupBy("sku_id").agg(F.stddev_samp("units_sold").alias("demand_std")))
 
 
-def scenario_sweep(risk: DataFrame, weekly: DataFrame, scenarios: list[dict]) -> DataFrame:
-    """The what-if simulator applied to every SKU under every scenario.
-
-    Scenarios are a small literal array exploded per SKU row (a generator,
-    not a join).
-    """
-    df = (risk.join(recent_demand_std(weekly), "sku_id", "left")
-              .select("sku_id", "forecast_8w_units", "lead_time_days", "available_units", "sales_at_risk_rupees",
-                      "recommended_action", F.coalesce("demand_std", F.lit(0.0)).alias("demand_std"),
-                      F.explode(scenario_array(scenarios)).alias("sc")))
+def scenario_sweep(risk: DataFrame, weekly: DataFrame, scenarios: DataFrame | list[dict]) -> DataFrame:
+    """The what-if simulator applied to every SKU under every scenario of a table (or list)."""
+    df = each_scenario(risk.join(recent_demand_std(weekly), "sku_id", "left")
+                           .select("sku_id", "forecast_8w_units", "lead_time_days", "available_units", "sales_at_risk_rupees",
+                                   "recommended_action", F.coalesce("demand_std", F.lit(0.0)).alias("demand_std")), scenarios)
     sc = lambda c: F.col("sc")[c]
     du = 1 + F.greatest(sc("discount_change"), F.lit(float(DISCOUNT_FLOOR_PCT))) * DISCOUNT_UPLIFT_PER_PCT
     au = 1 + sc("ad_change") * AD_UPLIFT_PER_PCT
@@ -260,9 +283,9 @@ def scenario_sweep(risk: DataFrame, weekly: DataFrame, scenarios: list[dict]) ->
                      note.alias("decision_note"))
 
 
-def scenario_curve(forecasts: DataFrame, scenarios: list[dict]) -> DataFrame:
+def scenario_curve(forecasts: DataFrame, scenarios: DataFrame | list[dict]) -> DataFrame:
     """Base vs simulated weekly demand for every scenario."""
-    df = forecasts.select("sku_id", "week_start", "forecast_units", F.explode(scenario_array(scenarios)).alias("sc"))
+    df = each_scenario(forecasts.select("sku_id", "week_start", "forecast_units"), scenarios)
     du = 1 + F.greatest(F.col("sc")["discount_change"], F.lit(float(DISCOUNT_FLOOR_PCT))) * DISCOUNT_UPLIFT_PER_PCT
     au = 1 + F.col("sc")["ad_change"] * AD_UPLIFT_PER_PCT
     return df.select(F.col("sc")["scenario_id"].alias("scenario_id"), "sku_id", "week_start", "forecast_units",
@@ -322,13 +345,11 @@ def retention_queue(customers: DataFrame, n: int = 80) -> DataFrame:
 
 
 def data_health(df: DataFrame) -> DataFrame:
-    """Rows, columns, missing cells and duplicate rows in one aggregate
-    (plus one distinct count)."""
+    """Rows, columns, missing cells and duplicate rows (by digests) in one aggregate."""
     missing = reduce(lambda a, b: a + b, [F.sum(F.col(c).isNull().cast("bigint")) for c in df.columns])
-    distinct_rows = df.distinct().select(F.count(F.lit(1))).scalar()
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
                   F.coalesce(missing, F.lit(0)).alias("missing_cells"),
-                  (F.count(F.lit(1)) - distinct_rows).alias("duplicate_rows"))
+                  (F.count(F.lit(1)) - distinct_count(df)).alias("duplicate_rows"))
 
 
 def missing_profile(df: DataFrame, top: int = 20) -> DataFrame:

@@ -7,13 +7,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from stockpulse.functions.columns import week_floor
 from stockpulse.functions.ranking import global_row_number
 from stockpulse.operators import clean, features
 from stockpulse.operators import risk as rk
 from stockpulse.operators import views as V
+from stockpulse.operators.sketches import COUNTED, ERROR, roll_up, weekly_sketches
 from stockpulse.plans.catalogue import REGISTRY, register
 from stockpulse.plans.q_features import ROLL
 from stockpulse.plans.q_forecast import _risk
+from stockpulse.plans.q_views import _AU, _DU, _z_sql
 from stockpulse.session import ensure_checkpoint_dir, keep_until_release, materialize
 from stockpulse.sources import io, store
 
@@ -70,7 +73,7 @@ def load_quarantined(ctx):
         ordered = df if name == "sales_daily" else df.repartitionByRange(4, "_ord").sortWithinPartitions("_ord")   # keep-last goes by file order
         ordered.select(F.explode(F.array_compact(F.array(line, *broken))).alias("value")).write.text(f"{folder}/{name}.csv")
     loaded = io.load_quarantined(ctx.spark, folder, columns)
-    cleaners = {"sales_daily": clean.clean_sales, "sku_master": clean.clean_sku, "calendar": clean.clean_calendar, "inventory_snapshots": clean.clean_inventory}
+    cleaners = {"sales_daily": lambda rows: clean.clean_sales(rows, by_digest=True), "sku_master": clean.clean_sku, "calendar": clean.clean_calendar, "inventory_snapshots": clean.clean_inventory}
     found = None
     for name, (rows, bad) in loaded.items():
         counted = ctx.spark.read.text(f"{folder}/{name}.csv").agg(
@@ -113,3 +116,60 @@ def output_readiness(ctx):
     io.write_table(risk, paths["incomplete"], partition_by=["recommended_action"])
     risk.limit(0).write.mode("overwrite").parquet(f"{paths['incomplete']}/recommended_action={rk.ACTION_HEALTHY}")   # a partition's files go
     return V.output_ready(ctx.spark, paths)
+
+
+# ---------------------------------------------------------------- scenarios from a table
+SWEPT = 1_000
+_SCENARIO_SQL = f"""SELECT CAST(i AS INTEGER) AS scenario_id, CAST((i * 7) % 61 - 30 AS DOUBLE) AS discount_change,
+       CAST((i * 11) % 81 - 40 AS DOUBLE) AS ad_change, CAST(i % 15 - 7 AS DOUBLE) AS lead_time_change,
+       CAST(80 + i % 20 AS DOUBLE) / 100 AS service_level FROM (SELECT unnest(generate_series(0, {SWEPT - 1})) AS i)"""
+
+
+@register("scenario_table_sweep", covers="D15, D16", r2=["simulated_units", "safety_stock", "simulated_sales"], sql=f"""
+SELECT scenario_id, COUNT(*) AS skus, SUM(simulated_forecast) AS simulated_units, SUM(safety_stock) AS safety_stock,
+       SUM(GREATEST(0, CEIL(leadtime_demand + safety_stock - available_units))) AS orders,
+       SUM(simulated_forecast * COALESCE(CASE WHEN forecast_8w_units <> 0
+                                              THEN sales_at_risk_rupees / GREATEST(forecast_8w_units, 1.0) END, 0.0)) AS simulated_sales
+FROM (
+  SELECT *, simulated_forecast * (sim_lead_time_days / {V.LEAD_HORIZON_DAYS}) AS leadtime_demand,
+         z * demand_std * SQRT(sim_lead_time_days / 7) AS safety_stock
+  FROM (
+    SELECT sc.scenario_id, r.forecast_8w_units, r.available_units, r.sales_at_risk_rupees, COALESCE(d.demand_std, 0.0) AS demand_std,
+           GREATEST(0.0, r.forecast_8w_units * {_DU} * {_AU}) AS simulated_forecast,
+           GREATEST(1.0, r.lead_time_days + lead_time_change) AS sim_lead_time_days, {_z_sql('service_level')} AS z
+    FROM risk r LEFT JOIN dstd d ON d.sku_id = r.sku_id, ({_SCENARIO_SQL}) sc))
+GROUP BY scenario_id""")
+def scenario_table_sweep(ctx):
+    """A stored table of a thousand scenarios swept over every SKU; totals by scenario."""
+    i = F.col("id")
+    table = ctx.spark.range(SWEPT).select(i.cast("int").alias("scenario_id"), (i * 7 % 61 - 30).cast("double").alias("discount_change"),
+                                          (i * 11 % 81 - 40).cast("double").alias("ad_change"), (i % 15 - 7).cast("double").alias("lead_time_change"),
+                                          ((80 + i % 20).cast("double") / 100).alias("service_level"))
+    path = io.write_table(table, f"{scratch(ctx, 'scenarios')}/scenarios")
+    swept = V.scenario_sweep(_risk(ctx), ctx.weekly, io.read_table(ctx.spark, path))
+    return swept.groupBy("scenario_id").agg(
+        F.count(F.lit(1)).alias("skus"), F.sum("simulated_forecast").alias("simulated_units"), F.sum("safety_stock").alias("safety_stock"),
+        F.sum(F.col("suggested_order").cast("double")).alias("orders"), F.sum("simulated_sales").alias("simulated_sales"))
+
+
+# ---------------------------------------------------------------- distinct counts by sketches
+_LEVELS = {"all": ("'all'", lambda: F.lit("all")), "sku": ("sku_id", lambda: F.col("sku_id")), "region": ("region", lambda: F.col("region")),
+           "month": ("strftime(date_trunc('week', date), '%Y-%m')", lambda: F.date_format("week_start", "yyyy-MM"))}
+
+
+@register("distinct_sketches", covers="W2, R3, D37", sql=" UNION ALL ".join(
+    f"SELECT '{level}' AS level, {sql} AS \"key\", COUNT(DISTINCT customer_id) AS customers, TRUE AS customers_within, "
+    f"COUNT(DISTINCT order_id) AS orders, TRUE AS orders_within FROM sales1 GROUP BY 2" for level, (sql, _) in _LEVELS.items()))
+def distinct_sketches(ctx):
+    """Exact distinct customers and orders at four levels, and whether the merged weekly sketches lie within their error."""
+    sketches = materialize(weekly_sketches(ctx.sales_clean), "weekly-sketches")
+    lines = ctx.sales_clean.withColumn("week_start", week_floor("date"))
+    found = None
+    for level, (_, key) in _LEVELS.items():
+        exact = lines.groupBy(key().alias("key")).agg(*[F.countDistinct(c).alias(n) for n, c in COUNTED.items()])
+        guess = roll_up(sketches, key().alias("key")).select(F.col("key").alias("_key"), *[F.col(n).alias(f"_{n}") for n in COUNTED])
+        both = exact.join(guess, F.col("key").eqNullSafe(F.col("_key")))
+        within = [(F.abs(F.col(f"_{n}") - F.col(n)) <= F.greatest(F.col(n) * ERROR, F.lit(1.0))).alias(f"{n}_within") for n in COUNTED]
+        rows = both.select(F.lit(level).alias("level"), "key", *COUNTED, *within)
+        found = rows if found is None else found.unionAll(rows)
+    return found
