@@ -577,15 +577,13 @@ def top_list(risk: DataFrame, n: int = 100) -> DataFrame:
     return risk.orderBy(F.desc("priority_score"), "sku_id").limit(n)
 
 
-class UnknownSku(LookupError):
-    """A SKU id that the risk table does not hold."""
-
-
 def found_or_raise(df: DataFrame, sku_id: str) -> DataFrame:
-    """``df`` if it has a row; the lookups by one id report an unknown one instead of returning nothing."""
-    if not df.take(1):
-        raise UnknownSku(f"no SKU '{sku_id}' in the risk table")
-    return df
+    """The rows of one SKU (a pushed-down key filter); reading an unknown id is an error, raised inside the plan."""
+    asked = df.sparkSession.createDataFrame([(sku_id,)], "_asked string")
+    rows = df.where(F.col("sku_id") == sku_id)
+    unknown = F.raise_error(F.concat(F.lit("no such SKU in the risk table: "), F.col("_asked"))).cast("string")
+    key = F.coalesce(F.col("sku_id"), unknown).alias("sku_id")
+    return asked.join(rows, F.col("_asked") == F.col("sku_id"), "left").select(*[key if c == "sku_id" else F.col(c) for c in df.columns])
 
 
 def any_column_search(df: DataFrame, text: str) -> DataFrame:
@@ -619,11 +617,11 @@ SCORE_COLUMNS = ["sku_id", "category", "forecast_8w_units", "stockout_risk", "ov
 
 def score_sku(risk: DataFrame, sku_id: str) -> DataFrame:
     """A4: the 10-column score of one SKU (pushed-down key filter)."""
-    return found_or_raise(risk.where(F.col("sku_id") == sku_id).select(*SCORE_COLUMNS), sku_id)
+    return found_or_raise(risk.select(*SCORE_COLUMNS), sku_id)
 
 
 def one_sku(risk: DataFrame, forecasts: DataFrame, sku_id: str) -> DataFrame:
-    """A3 for one id: its detail row, or ``UnknownSku``."""
+    """A3 for one id: its detail row; reading an unknown id is an error."""
     ids = risk.where(F.col("sku_id") == sku_id).select("sku_id")
     return found_or_raise(sku_detail(risk, forecasts, ids), sku_id)
 

@@ -62,8 +62,7 @@ CAL0 = """
          CAST(weekofyear(d) AS INTEGER) AS week,
          CAST(month(d) AS INTEGER) AS month,
          'Q' || CAST(quarter(d) AS VARCHAR) AS season,
-         (month(d) = 1 AND day(d) = 26) OR (month(d) = 8 AND day(d) = 15) OR (month(d) = 12 AND day(d) = 25)
-           AS is_holiday,
+         month(d) % 3 = 1 AND day(d) = 1 AS is_holiday,
          CASE WHEN month(d) % 5 = 0 THEN 'Promotion ' || CAST(month(d) AS VARCHAR) ELSE 'None' END AS promo_event
   FROM (SELECT unnest(generate_series(CAST((SELECT MIN(date) FROM sales0) AS TIMESTAMP),
                                       CAST((SELECT MAX(date) FROM sales0) AS TIMESTAMP), INTERVAL 1 DAY)) AS d)"""

@@ -137,3 +137,14 @@ def test_baseline_interval_order(spark):
         fc.baseline_forecast(), F.lit(2.0)).first()
     assert out["forecast_lower_80"] <= out["forecast_units"] <= out["forecast_upper_80"]
     assert out["forecast_lower_80"] == 0.0
+
+
+def test_strict_thresholds_reach_all_four_actions(spark):
+    from conftest import SF0001
+    from stockpulse.plans.catalogue import run
+    from stockpulse.plans.q_checks import STRICT
+
+    assert STRICT.stockout_threshold < 0.55
+    for sf in (SF0001, SF0001.replace("0.001", "0.01")):
+        got = {r[0] for r in run("risk_scores_strict", spark, sf).select("recommended_action").distinct().collect()}
+        assert got == {rk.ACTION_REORDER, rk.ACTION_MARKDOWN, rk.ACTION_WATCH, rk.ACTION_HEALTHY}

@@ -78,3 +78,13 @@ def test_scenario_sweep_shapes(spark):
     assert z[("SKU0001", 1)] == 1.64 and z[("SKU0001", 2)] == 1.41
     s1 = [r for r in out if r["sku_id"] == "SKU0001" and r["scenario_id"] == 1][0]
     assert abs(s1["demand_std"] - float(__import__("numpy").std(range(8, 20), ddof=1))) < 1e-9
+
+
+def test_unknown_sku_is_an_error_inside_the_plan(spark):
+    import pytest
+
+    known = V.found_or_raise(_risk(spark), "SKU0003")
+    assert known.columns == _risk(spark).columns and [r["sku_name"] for r in known.collect()] == ["Bed Lamp"]
+    unknown = V.found_or_raise(_risk(spark), "SKU9999")      # nothing runs before it is read
+    with pytest.raises(Exception, match="SKU9999"):
+        unknown.collect()
