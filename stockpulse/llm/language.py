@@ -27,18 +27,27 @@ from pyspark.sql import functions as F
 from stockpulse.llm.common import category_table, code_points, in_slices, uniform, with_outputs
 
 BUCKET_BITS = 16
+TABLE_CELLS = 1 << 24      # of the model: buckets times languages
 SLICE_CHARS = 1 << 20
-MAX_LANGUAGES = 256
 UNDETERMINED = "und"
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     langs: tuple[str, ...]
-    log_p: np.ndarray  # languages x 2**BUCKET_BITS, float32
+    log_p: np.ndarray  # languages x buckets, float32
 
+    @property
+    def bits(self) -> int:
+        return self.log_p.shape[1].bit_length() - 1
 
-def letter_trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def bucket_bits(languages: int) -> int:
+    """Trigram buckets (as a power of two) that keep the table within ``TABLE_CELLS``: 2**16 up to 256 languages, fewer for more."""
+    return min(BUCKET_BITS, max(6, (TABLE_CELLS // max(languages, 1)).bit_length() - 1))
+
+
+def letter_trigrams(texts: list[str], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigram buckets of all letters, the index of each word's first letter, and each word's text number."""
     lowered = [t.lower() for t in texts]
     ends = np.cumsum([len(t) + 1 for t in lowered])
@@ -49,7 +58,7 @@ def letter_trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     h = codes[at - 1] * np.uint32(2654435761) ^ codes[at] * np.uint32(2246822519) ^ codes[at + 1] * np.uint32(3266489917)
     h = (h ^ (h >> np.uint32(15))) * np.uint32(668265263)
     first = np.flatnonzero(~letter[at - 1])
-    return (h >> np.uint32(32 - BUCKET_BITS)).astype(np.int32), first, np.searchsorted(ends, at[first] - 1, side="right")
+    return (h >> np.uint32(32 - bits)).astype(np.int32), first, np.searchsorted(ends, at[first] - 1, side="right")
 
 
 def fit_language_model(docs: DataFrame, train: Column | None = None, text: str = "text", lang: str = "lang",
@@ -58,18 +67,21 @@ def fit_language_model(docs: DataFrame, train: Column | None = None, text: str =
     """Learn trigram likelihoods from labelled rows (``train``, non-null text and language).
 
     ``max_docs_per_lang`` whole texts a language are expected in the sample,
-    drawn by a hash of the key.  Of more than 256 language values the most
-    frequent 256 are learned.  Without any labelled row the model knows no
+    drawn by a hash of the key.  Every language value is learned; with more
+    than 256 of them trigrams share buckets (``bucket_bits``), so that the
+    table stays bounded.  Without any labelled row the model knows no
     language, and every text is undetermined.
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     rows = rows.where(train) if train is not None else rows
-    sizes = rows.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy(F.col(lang).alias("lang")).count().collect()
     langs = tuple(sorted(r["lang"] for r in sizes))
+    bits = bucket_bits(len(langs))
     if not langs:
-        return LanguageModel((), np.zeros((0, 1 << BUCKET_BITS), np.float32))
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(max_docs_per_lang / r["count"]))])
-    sample = rows.where(uniform(F.lit(seed), F.col(key)) < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+        return LanguageModel((), np.zeros((0, 1 << bits), np.float32))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], max_docs_per_lang / r["count"]) for r in sizes], "_lang string, _share double")
+    sample = (rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), uniform(F.lit(seed), F.col(key)).alias("u"))
+              .join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where("u < _share").select("lang", "text"))   # a row a language
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
@@ -77,7 +89,7 @@ def fit_language_model(docs: DataFrame, train: Column | None = None, text: str =
             for name, part in batch.groupby("lang")["text"]:
                 texts = part.tolist()
                 for a, b in in_slices(texts, SLICE_CHARS):
-                    n = np.bincount(letter_trigrams(texts[a:b])[0], minlength=1 << BUCKET_BITS)
+                    n = np.bincount(letter_trigrams(texts[a:b], bits)[0], minlength=1 << bits)
                     total[name] = total[name] + n if name in total else n
         for name, n in total.items():
             at = np.flatnonzero(n)
@@ -86,7 +98,7 @@ def fit_language_model(docs: DataFrame, train: Column | None = None, text: str =
     counted = (sample.mapInPandas(count, "lang string, bucket int, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
                .groupBy("lang").agg(F.collect_list("bucket").alias("bucket"), F.collect_list("n").alias("n")).collect())
-    n = np.zeros((len(langs), 1 << BUCKET_BITS))
+    n = np.zeros((len(langs), 1 << bits))
     for r in counted:
         n[langs.index(r["lang"]), r["bucket"]] = r["n"]
     n += smoothing
@@ -123,9 +135,14 @@ def _log_likelihood(q: np.ndarray, top: np.ndarray, starts: np.ndarray, n: np.nd
 
 def infer(model: LanguageModel, texts: list[str], penalty: float) -> tuple[np.ndarray, np.ndarray]:
     """Proportions (texts x languages) in the selected sets, and the number of words; zero rows for texts without letters."""
-    out, words = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts), np.int64)
+    return infer_with_evidence(model, texts, penalty)[:2]
+
+
+def infer_with_evidence(model: LanguageModel, texts: list[str], penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``infer``, and the log likelihood of the text under its mixture over that under evenly spread trigrams."""
+    out, words, evidence = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for a, b in in_slices(texts, SLICE_CHARS):
-        h, first, of = letter_trigrams(texts[a:b])
+        h, first, of = letter_trigrams(texts[a:b], model.bits)
         if not len(first) or not model.langs:
             continue
         ll = np.stack([np.add.reduceat(p[h], first) for p in model.log_p], axis=1)
@@ -156,44 +173,56 @@ def infer(model: LanguageModel, texts: list[str], penalty: float) -> tuple[np.nd
             better = now < cost[open_]
             cost[open_[better]], chosen[open_[better]] = now[better], pi[better]
         out[a + docs] = chosen
-    return out, words
+        likelihood = (penalty * np.log(n + 1) * np.maximum((chosen > 0).sum(axis=1), 1) - cost) / 2
+        letters = np.add.reduceat(np.diff(np.append(first, len(h))), starts)
+        evidence[a + docs] = likelihood + letters * model.bits * np.log(2)
+    return out, words, evidence
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text", penalty: float = 12.0) -> DataFrame:
-    """Add ``lang_pred``, ``score``, ``languages`` and ``proportions`` to every row.
+    """Add ``lang_pred``, ``score``, ``languages``, ``proportions`` and ``evidence`` to every row.
 
     ``score`` is the proportion of the predicted language in the selected
-    mixture; ``languages`` and ``proportions`` list the set by falling share.
+    mixture; ``languages`` and ``proportions`` list the set by falling share;
+    ``evidence`` is the log of how much likelier the text is under its mixture
+    than with evenly spread trigrams.
     A null text, a text without letters, or a model without languages gives
-    ``und``, 0.0 and empty lists.  Ties go to the language first in the
+    ``und``, 0.0, empty lists and no evidence (0.0).  Ties go to the language first in the
     alphabet.  Rows are neither dropped nor joined, so repeated rows, null
     keys and empty tables need no care; input columns named like an output
     are replaced.
     """
-    known = docs.sparkSession.sparkContext.broadcast(model)  # bounded: 2**16 x 256 floats at most
+    known = docs.sparkSession.sparkContext.broadcast(model)  # bounded: TABLE_CELLS floats
 
-    @F.pandas_udf("lang_pred string, score double, languages array<string>, proportions array<double>")
+    @F.pandas_udf("lang_pred string, score double, languages array<string>, proportions array<double>, evidence double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = known.value
         for batch in batches:
             texts = [t if t is not None else "" for t in batch]
-            pi, words = infer(m, texts, penalty)
+            pi, words, evidence = infer_with_evidence(m, texts, penalty)
             rows = []
-            for p, n in zip(pi, words):
+            for p, n, e in zip(pi, words, evidence):
                 if not n or not m.langs:
-                    rows.append((UNDETERMINED, 0.0, [], []))
+                    rows.append((UNDETERMINED, 0.0, [], [], 0.0))
                     continue
                 at = [int(i) for i in np.argsort(-p, kind="stable") if p[i] > 0]
-                rows.append((m.langs[at[0]], min(1.0, float(p[at[0]])), [m.langs[i] for i in at], [float(p[i]) for i in at]))
-            yield pd.DataFrame(rows, columns=["lang_pred", "score", "languages", "proportions"])
+                rows.append((m.langs[at[0]], min(1.0, float(p[at[0]])), [m.langs[i] for i in at], [float(p[i]) for i in at], float(e)))
+            yield pd.DataFrame(rows, columns=["lang_pred", "score", "languages", "proportions", "evidence"])
 
     # the inferred mixture is one column, so that Spark evaluates it once a row
     marked = docs.withColumn("_mixture", predict(F.col(text)))
-    return with_outputs(marked, {c: F.col("_mixture")[c] for c in ("lang_pred", "score", "languages", "proportions")}).drop("_mixture")
+    return with_outputs(marked, {c: F.col("_mixture")[c] for c in ("lang_pred", "score", "languages", "proportions", "evidence")}).drop("_mixture")
+
 
+def keep_identified(docs: DataFrame, model: LanguageModel, least_evidence: float = -20.0, **kwargs) -> DataFrame:
+    """Rows whose text has letters and is not worse explained by its languages than by chance, with the input's columns.
 
-def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5, **kwargs) -> DataFrame:
-    """Rows with a language that holds at least ``min_score`` of the words, with the input's columns."""
-    marked = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    found = identify_languages(marked, model, **kwargs).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    A text goes if evenly spread trigrams are likelier than its mixture by a
+    factor of ``exp(-least_evidence)``, which a short text can't reach; how
+    many languages it mixes plays no part.  Null texts and texts without
+    letters go, repeated rows all stay or all go, an empty table stays empty,
+    and if no language is known every row goes.
+    """
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{kwargs.pop('text', 'text')}`").alias("text"))
+    found = identify_languages(marked, model, **kwargs).where((F.col("lang_pred") != UNDETERMINED) & (F.col("evidence") >= least_evidence))
     return found.select("_row.*")

@@ -1,6 +1,7 @@
 """Every operator against brute force, an independent formulation, or held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -46,6 +47,55 @@ def test_mixture_proportions(docs):
     assert (pi[2] > 0).sum() == 2 and all(abs(pi[2][i] - n / words[2]) < 0.1 for i, n in zip(at, words))
 
 
+def test_documents_in_several_languages_stay_and_noise_goes(spark, docs):
+    model = language.fit_language_model(docs)
+    pure = {}
+    for r in docs.where("n_chars > 1500").select("lang", "text").collect():
+        pure.setdefault(r["lang"], []).append(r["text"].split())
+    rng = random.Random(8)
+    mixed = [" ".join(rng.choice(pure["en"])[:90] + rng.choice(pure["de"])[:70] + rng.choice(pure["fr"])[:40]) for _ in range(20)]
+    noise = ["".join(rng.choice("бгджзйклмнпрстфхцчшщ") for _ in range(6)) + " qzx" for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(mixed + [" ".join(noise * 5), "ok", "x", "Ünïq"])] + [(90, None), (91, "123 !")]
+    kept = {r["doc_id"] for r in language.keep_identified(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert kept == {*range(20), 21, 22, 23}
+    whole = {r["doc_id"] for r in language.keep_identified(docs, model).collect()}
+    assert whole == {r["doc_id"] for r in docs.collect() if re.search(r"[^\W\d_]", r["text"] or "")}
+
+
+def test_every_language_value_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "TABLE_CELLS", 1 << 16)
+    rng = random.Random(1)
+    letters = {f"l{i:03d}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 4)) for i in range(60)}
+    rows = [(i, name, " ".join("".join(rng.choices(own, k=5)) for _ in range(80))) for i, (name, own) in enumerate(letters.items())]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language.fit_language_model(df)
+    assert len(model.langs) == 60 and model.log_p.size <= 1 << 16 and model.bits < 16
+    got = language.identify_languages(df, model).collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in got) >= 55
+
+
+def test_em_against_plain_em_over_all_sets(docs):
+    """The chosen mixture costs no more than that of any set of languages, found by plain loops."""
+    import itertools
+    model = language.fit_language_model(docs)
+    text = " ".join(" ".join(r["text"].split()[:25]) for r in docs.where("n_chars > 1500").limit(3).collect())
+    pi, words = language.infer(model, [text], 12.0)
+    h, first, _ = language.letter_trigrams([text], model.bits)
+    ll = np.stack([np.add.reduceat(p[h], first) for p in model.log_p], axis=1).astype(np.float64)
+
+    def cost(allowed):
+        q = np.exp(ll[:, allowed] - ll.max(axis=1, keepdims=True))
+        p = np.full(len(allowed), 1 / len(allowed))
+        for _ in range(500):
+            r = q * p
+            p = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
+        return -2 * (ll.max(axis=1) + np.log((q * p).sum(axis=1))).sum() + 12.0 * len(allowed) * math.log(len(ll) + 1)
+
+    every = {s: cost(list(s)) for k in range(1, len(model.langs) + 1) for s in itertools.combinations(range(len(model.langs)), k)}
+    got = tuple(int(i) for i in np.flatnonzero(pi[0] > 0))
+    assert every[got] <= min(every.values()) + 1e-3 * abs(min(every.values())) and words[0] == len(ll)
+
+
 # ---- 2
 
 def _waterfill(budget, weights, capacity):
