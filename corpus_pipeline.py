@@ -21,7 +21,10 @@ from stockpulse.session import ensure_checkpoint_dir, materialize
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters, or in which no language holds half of the words."""
+    """Drop documents without letters, and those that no mixture of the languages explains better than chance.
+
+    Null and empty texts go; repeated rows stay or go together; an empty table stays empty.
+    """
     ensure_checkpoint_dir(spark)
     return keep_identified(docs, fit_language_model(docs))
 
