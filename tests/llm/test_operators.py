@@ -322,6 +322,47 @@ def test_shards_are_even_and_gapless(spark, docs, per_range):
     assert all(b["start"] == a["start"] + a["size"] for a, b in zip(placed, placed[1:]))
 
 
+def _placed_plainly(rows, n_shards, tolerance=0.05):
+    """(shard, slot) of every row of an order, by plain sums over it; a row is (text, size)."""
+    total = sum(s for _, s in rows)
+    groups, start = defaultdict(lambda: [None, 0]), 0
+    for t, s in rows:
+        groups[t][0] = start if groups[t][0] is None else groups[t][0]
+        groups[t][1] += s
+        start += s
+    out, slots, start = [], Counter(), 0
+    for t, s in rows:
+        g0, g = groups[t]
+        middle = g0 + g / 2 if g <= 2 * tolerance * total / n_shards else start + s / 2
+        shard = min(n_shards - 1, int(middle * n_shards / total))
+        out.append((shard, slots[shard]))
+        slots[shard] += 1
+        start += s
+    return out
+
+
+@pytest.mark.parametrize("max_ranges,per_range,broadcast", [(4096, 20_000, 50_000), (8, 200, 50_000), (2, 30, 0), (64, 5, 50_000)])
+def test_places_against_plain_sums(spark, monkeypatch, max_ranges, per_range, broadcast):
+    """400 texts of 20 copies, a hot text, a hot text with one key, null keys and texts: whatever the ranges, copies stand side by side."""
+    monkeypatch.setattr(sharding, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(3)
+    texts = [f"text {i} " + "x" * rng.randint(0, 60) for i in range(400)]
+    rows = [(i, texts[i % 400]) for i in range(8_000)] + [(10_000 + i, "hot") for i in range(2_500)] + [(9_000, "one key")] * 1_500 + [(None, "no key")] * 300 + [(20_000 + i, None) for i in range(200)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sharding.shard_by_bytes(df, n_shards=16, rows_per_range=per_range, max_ranges=max_ranges).collect()
+    text_of = {k: t for k, t in rows if k is not None}
+    text_of[None] = "no key"
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((k, len((t or "").encode()) + 1) for k, t in rows)
+    order = sorted(got, key=lambda r: r["start"])
+    assert all(b["start"] == a["start"] + a["size"] for a, b in zip(order, order[1:])) and order[0]["start"] == 0
+    runs = 1 + sum(text_of[a["doc_id"]] != text_of[b["doc_id"]] for a, b in zip(order, order[1:]))
+    assert runs == 404
+    assert [(r["shard"], r["slot"]) for r in order] == _placed_plainly([(text_of[r["doc_id"]], r["size"]) for r in order], 16)
+    whole = {t: {r["shard"] for r in got if text_of[r["doc_id"]] == t} for t in texts}
+    assert all(len(s) == 1 for s in whole.values())
+
+
 # ---- 8
 
 def test_toxicity_of_held_out_documents(spark):
