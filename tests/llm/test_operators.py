@@ -418,7 +418,8 @@ def _edit(a, b):
     return row[-1]
 
 
-def test_fuzzy_lines_against_all_pairs(spark):
+@pytest.mark.parametrize("block", [256, 2])
+def test_fuzzy_lines_against_all_pairs(spark, block):
     rng = random.Random(9)
     base = [[f"w{rng.randint(0, 500)}" for _ in range(40)] for _ in range(6)]
     texts = {}
@@ -432,14 +433,12 @@ def test_fuzzy_lines_against_all_pairs(spark):
         texts[i] = "\n".join(ls + ["Short line!", "", "---"])
     norm = lambda s: re.sub(r"[\W_]+", " ", s.lower()).strip()
     nodes = list(dict.fromkeys(norm(x) for t in texts.values() for x in t.split("\n") if norm(x)))
-    sims = [_simhash(n) if len(n.split()) >= 4 else None for n in nodes]
     parent = list(range(len(nodes)))
     find = lambda x: x if parent[x] == x else find(parent[x])
     for i in range(len(nodes)):
         for j in range(i):
-            if sims[i] is not None and sims[j] is not None and bin(sims[i] ^ sims[j]).count("1") <= 3:
-                if _edit(nodes[i], nodes[j]) <= 0.2 * max(len(nodes[i]), len(nodes[j])):
-                    parent[find(i)] = find(j)
+            if _edit(nodes[i], nodes[j]) <= 0.2 * max(len(nodes[i]), len(nodes[j])):
+                parent[find(i)] = find(j)
     number, seen, want = {n: i for i, n in enumerate(nodes)}, set(), {}
     for k, t in sorted(texts.items()):
         gone = []
@@ -450,7 +449,7 @@ def test_fuzzy_lines_against_all_pairs(spark):
                 seen.add(g)
         want[k] = gone
     assert len({find(i) for i in range(len(nodes))}) < 0.8 * len(nodes)
-    got = lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), block=block).collect()
     assert {r["doc_id"]: r["dropped_lines"] for r in got} == want
     for r in got:
         assert r["text"] == "\n".join(x for i, x in enumerate(texts[r["doc_id"]].split("\n")) if i not in want[r["doc_id"]])
@@ -487,9 +486,9 @@ def _recall(spark, lengths, seed):
     for i, n in enumerate(lengths):
         line = [_word(rng) for _ in range(n)]
         edited = _edited(rng, line)
-        own.append(len(edited.split()) >= 4)  # shorter ones are compared exactly
+        own.append(True)
         rows += [(2 * i, " ".join(line)), (2 * i + 1, edited)]
-    got = {r["doc_id"]: r["n_kept"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), shingled=True).collect()}
+    got = {r["doc_id"]: r["n_kept"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[2 * i] == 1 for i in range(len(lengths)))
     return sum(1 - got[2 * i + 1] for i, o in enumerate(own) if o) / sum(own)
 
@@ -498,24 +497,61 @@ def test_edited_lines_are_found(spark):
     assert _recall(spark, [10, 12, 15, 20, 30, 45, 60, 90] * 12, 21) >= 0.98
 
 
-def test_edited_lines_of_four_to_eight_words_are_found(spark):
-    assert _recall(spark, [4, 5, 6, 7, 8] * 20, 22) >= 0.9
-
-
-def test_pigeonhole_blocks_share_a_key(spark):
-    rng = random.Random(10)
-    rows = []
-    for blocks in (5, 6, 8):
-        for _ in range(60):
-            a = rng.getrandbits(64)
-            b = a
-            for bit in rng.sample(range(64), 3):
-                b ^= 1 << bit
-            rows.append((blocks, *(x - (1 << 64) if x >> 63 else x for x in (a, b))))
-    df = spark.createDataFrame(rows, "blocks int, a long, b long")
-    for blocks in (5, 6, 8):
-        shares = F.arrays_overlap(lines._bucket_keys(F.col("a"), blocks, 3), lines._bucket_keys(F.col("b"), blocks, 3))
-        assert df.where((F.col("blocks") == blocks) & ~shares).count() == 0
+def test_edited_lines_of_two_to_eight_words_are_found(spark):
+    assert _recall(spark, [2, 3, 4, 5, 6, 7, 8] * 15, 22) >= 0.9
+
+
+def _typed(rng, s, n, letters="abcdefghij"):
+    s = list(s)
+    for i in rng.sample([i for i, c in enumerate(s) if c != " "], n):
+        s[i] = rng.choice(letters)
+    return "".join(s)
+
+
+def test_lines_of_any_length_and_script_are_found(spark):
+    """Nearly equal lines: 5,000 characters with a letter changed in a quarter of the words; few long words; Han text with and without blanks; one word."""
+    rng = random.Random(12)
+    han = "".join(chr(0x4E00 + i) for i in range(3_000))
+
+    def very_long():
+        words = [_word(rng) for _ in range(850)]
+        changed = [_typed(rng, w, 1) if i % 4 == 0 else w for i, w in enumerate(words)]
+        return " ".join(words), " ".join(changed)
+
+    def long_words():
+        s = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=29)) for _ in range(6))
+        return s, _typed(rng, s, 4)
+
+    def han_text(n=200, edits=8, parts=5):
+        s = "".join(rng.choices(han, k=n))
+        s = " ".join(s[i:i + n // parts] for i in range(0, n, n // parts))
+        return s, _typed(rng, s, edits, han)
+
+    def one_word():
+        s = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+        return s, _typed(rng, s, 1)
+
+    kinds = [(very_long, 10), (long_words, 30), (han_text, 30), (lambda: han_text(60, 1, 1), 30), (one_word, 30)]
+    rows, kind = [], {}
+    for k, (make, n) in enumerate(kinds):
+        for _ in range(n):
+            for line in make():
+                kind[len(rows)] = k
+                rows.append((len(rows), line))
+    got = {r["doc_id"]: r["n_kept"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == 1 for i in got if i % 2 == 0)
+    for k, (_, n) in enumerate(kinds):
+        assert sum(got[i] == 0 for i in got if kind[i] == k and i % 2) >= 0.9 * n, k
+
+
+def test_normalised_lines_and_their_digests():
+    texts = ["Hello,  World!\n--\n\nÜnï 日本語 x2 ", "", "\n", "hello world"]
+    codes, begins, of = lines.normalised(texts)
+    whole = "".join(map(chr, codes))
+    got = [(int(t), whole[begins[i]:begins[i + 1]]) for i, t in enumerate(of)]
+    assert got == [(0, "hello world"), (0, ""), (0, ""), (0, "ünï 日本語 x2"), (1, ""), (2, ""), (2, ""), (3, "hello world")]
+    digests = lines.line_digests(codes, begins)
+    assert (digests[0] == digests[7]).all() and (digests[0] != digests[3]).all()
 
 
 def test_components(spark):
