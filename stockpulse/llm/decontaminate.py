@@ -1,13 +1,17 @@
 """Benchmark decontamination: every passage of the corpus queries a BM25 index of the test items.
 
-The index is an inverted one over the items' words.  Impacts are BM25 weights
-divided by the item's score for its own text, so that 1 means "all of its
-words" for every item and one threshold serves all.  Items are ordered by
-length and cut into blocks, and every term has its largest impact in each
-block.  Passages are skipped when the sum of their terms' largest impacts
-stays below the threshold (the WAND bound), blocks when the sum of the block
-maxima does; only what is left is scored.  All passages are treated: windows
-that overlap by half, as wide as twice the longest item.
+The index is inverted, sparse and made by Spark: items give (term, item)
+rows, document frequencies, the mean length and the norms of impacts are
+aggregates over all items, whatever is searched at once.  Impacts are BM25
+weights divided by the item's score for its own text, so that 1 means "all of
+its words" for every item and one threshold serves all.
+
+Items are dealt into passes of bounded bytes.  A pass orders its items by
+length and cuts them into blocks; a term's list carries the largest impact of
+each block.  A passage is skipped when its terms' largest impacts stay below
+the threshold together (the WAND bound); of the others only those blocks are
+opened whose maxima reach it; only their postings are added up.  All passages
+are treated: windows that overlap by half, as wide as twice the longest item.
 
 Retrieved items are verified: enough of the three-word sequences of the
 item's question and of its answer (its last sentence, if it has several)
@@ -22,14 +26,16 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.llm.common import in_slices, mix, with_outputs, word_hashes
+from stockpulse.session import materialize
 
 SLICE_CHARS = 1 << 20
 BLOCK_ITEMS = 16
-ITEMS_A_PASS = 5_000
+PASS_BYTES = 32 << 20        # of an index that is held on the driver and in every task at once
+OPENED = 1 << 20             # block entries or postings that a task holds at once
 K1, B = 1.2, 0.75
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -45,40 +51,72 @@ def sequences(words: np.ndarray, width: int = 3) -> np.ndarray:
     return mix(h)
 
 
+PARTS = "struct<words:array<long>,question:array<long>,answer:array<long>>"
+
+
+def item_parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Word hashes of an item, and the distinct sequences of its question and its answer; None without words."""
+    sentences = [w for w in (word_hashes([x], True)[0] for x in SENTENCE.split(text)) if len(w)]
+    if not sentences:
+        return None
+    words = np.concatenate(sentences)
+    question = np.concatenate(sentences[:-1]) if len(sentences) > 1 else words
+    return words, np.unique(sequences(question)), np.unique(sequences(sentences[-1])) if len(sentences) > 1 else words[:0]
+
+
+def index_items(items: DataFrame, item_key: str, item_text: str) -> tuple[DataFrame, DataFrame, int]:
+    """The written index of all items: (``q``, ``key``, ``length``, ``question``, ``answer``), (``q``, ``term``, ``impact``), and the longest length."""
+    @F.pandas_udf(PARTS)
+    def parts(texts: pd.Series) -> pd.DataFrame:
+        found = [item_parts(t) or (np.zeros(0, np.uint64),) * 3 for t in texts]
+        return pd.DataFrame({n: [x[i].view(np.int64) for x in found] for i, n in enumerate(("words", "question", "answer"))})
+
+    rows = items.select(F.monotonically_increasing_id().alias("q"), F.col(f"`{item_key}`").alias("key"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
+    kept = materialize(rows.select("q", "key", parts("t").alias("p")).select("q", "key", "p.*").where(F.size("words") > 0), "items")
+    kept = kept.withColumn("length", F.size("words").cast("double"))
+    n, mean, longest = kept.agg(F.count(F.lit(1)), F.avg("length"), F.max("length")).first()
+    tf = kept.select("q", "length", F.explode("words").alias("term")).groupBy("q", "term").agg(F.max("length").alias("length"), F.count(F.lit(1)).cast("double").alias("tf"))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
+    idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(float(mean or 1.0))))
+    weighed = tf.join(df, "term").select("q", "term", weight.alias("w"))
+    own = weighed.groupBy("q").agg(F.sum("w").alias("own"))
+    postings = materialize(weighed.join(own, "q").select("q", "term", (F.col("w") / F.col("own")).cast("float").alias("impact")), "item-postings")
+    return kept.drop("words"), postings, int(longest or 0)
+
+
 @dataclass
 class ItemIndex:
+    """One pass's lists: ``term`` t has the block entries from ``entry[t]`` on, an entry its block, maximum and the postings from ``first`` on."""
     ids: list
     terms: np.ndarray      # sorted word hashes
-    impact: np.ndarray     # terms x items, float32
-    block_max: np.ndarray  # terms x blocks
-    list_max: np.ndarray   # terms
+    list_max: np.ndarray   # a term's largest impact
+    entry: np.ndarray      # terms + 1
+    block: np.ndarray
+    block_max: np.ndarray
+    first: np.ndarray      # entries + 1
+    item: np.ndarray       # of postings, by term and item
+    impact: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
     stride: int
 
     @classmethod
-    def build(cls, ids: list, texts: list[str]) -> "ItemIndex | None":
-        parts = []
-        for i, t in zip(ids, texts):
-            sentences = [w for w in (word_hashes([x], True)[0] for x in SENTENCE.split(t)) if len(w)]
-            if sentences:
-                words = np.concatenate(sentences)
-                question = np.concatenate(sentences[:-1]) if len(sentences) > 1 else words
-                parts.append((len(words), i, words, np.unique(sequences(question)), np.unique(sequences(sentences[-1])) if len(sentences) > 1 else words[:0]))
-        if not parts:
+    def build(cls, keys: list, lengths: np.ndarray, question: list, answer: list, of: np.ndarray, term: np.ndarray, impact: np.ndarray, longest: int) -> "ItemIndex | None":
+        """From items and their (item number, term, impact) rows."""
+        if not len(keys):
             return None
-        parts.sort(key=lambda p: p[0])
-        terms = np.unique(np.concatenate([p[2] for p in parts]))
-        tf = np.zeros((len(terms), len(parts)), np.float32)
-        for j, p in enumerate(parts):
-            np.add.at(tf[:, j], np.searchsorted(terms, p[2]), 1)
-        n, df = len(parts), (tf > 0).sum(axis=1)
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        length = tf.sum(axis=0)
-        weight = idf[:, None] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / length.mean()))
-        impact = (weight / weight.sum(axis=0)).astype(np.float32)
-        blocks = np.maximum.reduceat(impact, np.arange(0, n, BLOCK_ITEMS), axis=1)
-        return cls([p[1] for p in parts], terms, impact, blocks, impact.max(axis=1), [p[3] for p in parts], [p[4] for p in parts], max(64, int(length.max())))
+        order = np.argsort(lengths, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        item = place[of]
+        by = np.lexsort((item, term))
+        term, item, impact = term[by], item[by], impact[by]
+        starts = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+        first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (item[1:] // BLOCK_ITEMS != item[:-1] // BLOCK_ITEMS)))
+        return cls([keys[i] for i in order], term[starts], np.maximum.reduceat(impact, starts), np.append(np.searchsorted(first, starts), len(first)),
+                   item[first] // BLOCK_ITEMS, np.maximum.reduceat(impact, first), np.append(first, len(item)), item, impact,
+                   [question[i] for i in order], [answer[i] for i in order], max(64, longest))
 
     def search(self, texts: list[str], least: float) -> Iterator[tuple[int, int, float, np.ndarray]]:
         """(text, item, score, the passage's words) of every passage and item with a score of ``least`` or more."""
@@ -98,32 +136,46 @@ class ItemIndex:
             # the window that begins at a stride holds that stride and the next
             pairs = np.unique(np.concatenate([stride, stride - 1]) * len(self.terms) + np.tile(at[known], 2))
             window, term = np.divmod(pairs, len(self.terms))
-            window, starts = self._above(window, self.list_max[term], least)
-            rows = np.repeat(np.arange(len(window)), np.diff(np.append(starts, len(term)))[self._kept])
-            term = term[np.repeat(self._kept, np.diff(np.append(starts, len(term))))]
-            if not len(window):
-                continue
-            begins = np.flatnonzero(np.diff(rows, prepend=-1))
-            bounds = np.add.reduceat(self.block_max[term], begins, axis=0)
-            for block in np.flatnonzero((bounds >= least - 1e-4).any(axis=0)):
-                chosen = bounds[:, block] >= least - 1e-4
-                own = chosen[rows]
-                sub = np.flatnonzero(np.diff(rows[own], prepend=-1))
-                items = slice(block * BLOCK_ITEMS, (block + 1) * BLOCK_ITEMS)
-                scores = np.add.reduceat(self.impact[term[own], items], sub, axis=0)
-                for r, i in zip(*np.nonzero(scores >= least - 1e-4)):
-                    w = window[chosen][r]
+            starts = np.flatnonzero(np.append(True, window[1:] != window[:-1]))
+            sizes = np.diff(np.append(starts, len(window)))
+            able = np.repeat(np.add.reduceat(self.list_max[term].astype(np.float64), starts) >= least - 1e-4, sizes)
+            window, term = window[able], term[able]
+            for a, b in self._cuts(window, np.diff(self.entry)[term]):
+                for w, i, score in self._scores(window[a:b], term[a:b], least):
                     doc = int(np.searchsorted(base - 1, w, side="right") - 1)
                     begin = first[doc] + max(0, (w - base[doc])) * self.stride
                     end = first[doc] + (w - base[doc] + 2) * self.stride
                     stop = first[doc + 1] if doc + 1 < len(first) else len(words)
-                    yield lo + doc, int(i) + items.start, float(scores[r, i]), words[begin:min(end, stop)]
+                    yield lo + doc, i, score, words[begin:min(end, stop)]
+
+    @staticmethod
+    def _cuts(window: np.ndarray, cost: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of whole windows whose block entries are about ``OPENED``."""
+        if len(window):
+            edges = np.append(np.flatnonzero(np.append(True, window[1:] != window[:-1])), len(window))
+            part = (np.append(0, np.cumsum(cost))[edges[:-1]] // OPENED).astype(np.int64)
+            cuts = np.append(edges[:-1][np.flatnonzero(np.append(True, part[1:] != part[:-1]))], len(window))
+            yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
+
+    def _scores(self, window: np.ndarray, term: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
+        """(window, item, score) above the threshold: block maxima first, then the postings of the blocks that reach it."""
+        rows, entry = _spread(self.entry, term)
+        group, summed = _added(window[rows], self.block[entry], self.block_max[entry])
+        good = (summed >= least - 1e-4)[group]
+        entry, own = entry[good], window[rows[good]]
+        for a, b in self._cuts(own, np.diff(self.first)[entry]):
+            yield from self._opened(own[a:b], entry[a:b], least)
 
-    def _above(self, window: np.ndarray, bound: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Windows whose terms' largest impacts reach the threshold, and where each window's terms begin."""
-        starts = np.flatnonzero(np.diff(window, prepend=window[0] - 1))
-        self._kept = np.add.reduceat(bound, starts) >= least - 1e-4
-        return window[starts][self._kept], starts
+    def _opened(self, window: np.ndarray, entry: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
+        rows, posting = _spread(self.first, entry)
+        if not len(rows):
+            return
+        w, i = window[rows], self.item[posting]
+        group, summed = _added(w, i, self.impact[posting])
+        one = np.unique(group, return_index=True)[1]
+        for g, at in zip(group[one], one):
+            if summed[g] >= least - 1e-4:
+                yield int(w[at]), int(i[at]), float(summed[g])
 
     def verify(self, item: int, passage: np.ndarray) -> tuple[float, float, float]:
         """Shares of the question's, the answer's and all sequences that stand in the passage."""
@@ -134,38 +186,83 @@ class ItemIndex:
         return got[0], got[1], (got[0] * len(q) + got[1] * len(a)) / max(1, len(q) + len(a))
 
 
+def _spread(edges: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lists given by their ``edges``: the place of every chosen list, repeated for each member, and the members."""
+    counts = edges[chosen + 1] - edges[chosen]
+    rows = np.repeat(np.arange(len(chosen)), counts)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(edges[chosen], counts)
+
+
+def _added(a: np.ndarray, b: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each row, by equal (``a``, ``b``), and the groups' sums."""
+    group = np.unique(a.astype(np.int64) * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+    return group, np.bincount(group, weights=values.astype(np.float64))
+
+
 def match_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
                     least: float = 0.7, min_question: float = 0.7, min_answer: float = 0.5, min_all: float = 0.8,
-                    items_a_pass: int = ITEMS_A_PASS) -> DataFrame:
+                    pass_bytes: int = PASS_BYTES) -> DataFrame:
     """Add ``matches``: the items a text leaks, as (item, score, question, answer), by item.
 
     An item is leaked by a passage whose normalised BM25 score is ``least`` or
     more, if ``min_question`` of the question's sequences stand in it, and
     ``min_answer`` of the answer's or ``min_all`` of both.  The best passage
-    of a text counts.  Items go to the tasks in passes of about
-    ``items_a_pass`` (hash of the key and text), each with an index of its
-    own; nothing larger is broadcast, and all items are searched.
+    of a text counts.  The index is searched in passes of about ``pass_bytes``
+    of it (by the item's hash); scores and window widths come from all items,
+    so the passes change nothing.  One pass is a column of the texts; of
+    several each writes the texts that leak, by their digests, which are then
+    joined.
 
     Null or wordless texts leak nothing, null or wordless items are never
     leaked; an item with a null key is reported with a null item.  Repeated
-    items are reported each.  Rows are neither dropped nor joined; an input
-    column ``matches`` is replaced.
+    items are reported each.  No row is dropped; an input column ``matches``
+    is replaced.
     """
     spark = docs.sparkSession
     kind = "long" if dict(items.dtypes)[item_key] in ("tinyint", "smallint", "int", "bigint") else "string"
-    items = items.select(F.col(item_key).cast(kind).alias("i"), F.col(item_text).alias("t")).where("t is not null")
-    passes = max(1, -(-items.count() // items_a_pass))
+    kept, postings, longest = index_items(items.withColumn(item_key, F.col(f"`{item_key}`").cast(kind)), item_key, item_text)
+    size = kept.agg(F.coalesce(F.sum(100 + 8 * (F.size("question") + F.size("answer"))), F.lit(0))).first()[0] + 20 * postings.count()
+    passes = max(1, -(-size // pass_bytes))
     schema = f"array<struct<item:{kind},score:double,question:double,answer:double>>"
-    columns = []
+    limits = (least, min_question, min_answer, min_all)
+    none = F.array().cast(schema)
+    t = F.col(f"`{text}`")
+    digest = lambda: [F.xxhash64(t).alias("_d1"), F.xxhash64(F.lit(1), t).alias("_d2")]
+    found = None
     for n in range(passes):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == n).orderBy("i", "t").collect() if passes > 1 else items.orderBy("i", "t").collect()
-        index = ItemIndex.build([r["i"] for r in part], [r["t"] for r in part])
-        if index:
-            columns.append(_match_udf(spark.sparkContext.broadcast(index), schema, (least, min_question, min_answer, min_all))(F.col(text)))
-    matches = F.array_sort(F.concat(*columns)) if columns else F.array().cast(schema)
+        index = _collect_pass(kept, postings, longest, passes, n)
+        if index is None:
+            continue
+        shared = spark.sparkContext.broadcast(index)
+        if passes == 1:
+            return _with_matches(docs, F.array_sort(_match_udf(shared, schema, limits)(t)))
+        leaks = docs.where(t.isNotNull()).select(*digest(), _match_udf(shared, schema, limits)(t).alias("m")).where(F.size("m") > 0).dropDuplicates(["_d1", "_d2"])
+        leaks = materialize(leaks, "leaks")
+        shared.unpersist()
+        found = leaks if found is None else found.unionAll(leaks)
+    if found is None:
+        return _with_matches(docs, none)
+    found = found.groupBy("_d1", "_d2").agg(F.array_sort(F.flatten(F.collect_list("m"))).alias("m")).select(F.col("_d1").alias("_e1"), F.col("_d2").alias("_e2"), "m")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *digest())
+    met = rows.join(found, (F.col("_d1") == F.col("_e1")) & (F.col("_d2") == F.col("_e2")), "left")
+    return met.select(*[F.col(f"row.`{c}`") for c in docs.columns if c.lower() != "matches"], F.coalesce("m", none).alias("matches"))
+
+
+def _with_matches(docs: DataFrame, matches: Column) -> DataFrame:
     return with_outputs(docs, {"matches": matches})
 
 
+def _collect_pass(kept: DataFrame, postings: DataFrame, longest: int, passes: int, n: int) -> ItemIndex | None:
+    """One pass's part of the index, of about ``PASS_BYTES``."""
+    mine = F.pmod(F.xxhash64("q"), F.lit(passes)) == n
+    rows = kept.where(mine).orderBy("q").collect()
+    lists = postings.where(mine).toPandas()
+    qs = np.array([r["q"] for r in rows], np.int64)
+    bits = lambda a: np.array(a, np.int64).view(np.uint64)
+    return ItemIndex.build([r["key"] for r in rows], np.array([r["length"] for r in rows]), [bits(r["question"]) for r in rows], [bits(r["answer"]) for r in rows],
+                           np.searchsorted(qs, lists["q"].to_numpy(np.int64)), lists["term"].to_numpy(np.int64).view(np.uint64), lists["impact"].to_numpy(np.float32), longest)
+
+
 def _match_udf(shared, schema: str, limits: tuple[float, ...]):
     least, min_question, min_answer, min_all = limits
 
@@ -185,7 +282,11 @@ def _match_udf(shared, schema: str, limits: tuple[float, ...]):
     return match
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **kwargs) -> DataFrame:
-    """The input's rows and columns, without the texts that leak an item."""
-    marked = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **kwargs) -> DataFrame:
+    """The input's rows and columns, without the texts that leak an item.
+
+    Null texts stay, repeated rows all stay or all go, an empty table stays
+    empty, and without items every row stays.
+    """
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("text"))
     return match_benchmark(marked, items, **kwargs).where(F.size("matches") == 0).select("_row.*")
