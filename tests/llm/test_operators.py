@@ -554,6 +554,15 @@ def test_normalised_lines_and_their_digests():
     assert (digests[0] == digests[7]).all() and (digests[0] != digests[3]).all()
 
 
+def test_edits_within_a_bound():
+    rng = random.Random(4)
+    for _ in range(3_000):
+        a = "".join(rng.choices("abcé日", k=rng.randint(0, 14)))
+        b = "".join(rng.choices("abcé日", k=rng.randint(0, 14))) if rng.random() < 0.5 else _typed(rng, a, min(2, len(a)), "ab日") + rng.choice(["", "c"])
+        least = _edit(a, b)
+        assert all(lines.within(a, b, k) == (k >= least) for k in range(16)), (a, b)
+
+
 def test_components(spark):
     rng = random.Random(11)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1060)]
