@@ -6,8 +6,8 @@ a letter.  The narrowest alphabet that holds a candidate is its inferred
 encoding, and a battery runs on its symbols:
 
 * the likelihood ratio of a random string of the encoding to an ordinary one.
-  Ordinary strings have the letters of the corpus's words (counted in a
-  sample, candidates left out) and change between digits, small and capital
+  Ordinary strings have the letters of the corpus's words (counted in all
+  texts, candidates left out) and change between digits, small and capital
   letters at ``changes`` of their places.  An ordinary string reaches a ratio
   of x with a chance of 1 / x at most (Markov), which is the p-value that
   discoveries are controlled on; shares of digits don't count;
@@ -57,9 +57,8 @@ ENCODINGS = [
 BANDS = [20, 24, 32, 48, 64, 128]  # lower bounds of length
 BINS_PER_DECADE, MAX_DECADES = 10, 30
 CHANGE = "(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])"
-#: Letters of English in 1,000, added to the corpus's counts.
-PRIOR = dict(zip(UPPER.lower(), [82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1]))
-SAMPLE = 16
+#: Letters of English in 16,000, added to the corpus's counts (so that a few short texts alone don't make the model).
+PRIOR = dict(zip(UPPER.lower(), [16 * n for n in [82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1]]))
 
 
 def _spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) -> Column:
@@ -88,9 +87,9 @@ def _spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) ->
 
 
 def letter_counts(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """How often the letters a to z stand in the words of a sixteenth of the texts (by hash), plus ``PRIOR``."""
+    """How often the letters a to z stand in the words of all texts, plus ``PRIOR``."""
     t = F.lower(F.regexp_replace(F.col(text), CANDIDATE, " "))
-    counts = docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(SAMPLE)) == 0).select(t.alias("t")).agg(
+    counts = docs.select(t.alias("t")).agg(
         *[F.coalesce(F.sum(F.char_length("t") - F.char_length(F.replace("t", F.lit(c), F.lit("")))), F.lit(0)).alias(c) for c in PRIOR]).first()
     return {c: n + counts[c] for c, n in PRIOR.items()}
 

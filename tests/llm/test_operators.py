@@ -266,6 +266,13 @@ def test_keys_of_small_alphabets_are_found_among_ordinary_strings(spark):
     assert sum(got[i] for i in got if i not in kind) <= 0.03 * len(kind)
 
 
+def test_letters_are_counted_in_every_text(spark):
+    rows = [(i, f"{'qz' * (i % 7)} QX text {i}") for i in range(200)] + [(200, None), (201, ""), (202, "zz" * 20)]   # the last is a candidate
+    got = secret_scan.letter_counts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    words = Counter("".join(t for _, t in rows[:200]).lower())
+    assert got == {c: n + words[c] for c, n in secret_scan.PRIOR.items()}
+
+
 def test_random_strings_are_found_and_ordinary_ones_are_not(spark):
     rng = random.Random(6)
     letters = secret_scan.UPPER + secret_scan.UPPER.lower() + secret_scan.DIGITS
