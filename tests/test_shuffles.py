@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from stockpulse.functions import dedup
+from stockpulse.functions.columns import week_floor
 from stockpulse.operators import clean, features, sketches
 from stockpulse.operators import views as V
 from stockpulse.plans.context import Context
 from stockpulse.session import materialize
+from stockpulse.sources import adapters, io
 from test_entry import plan_of
 
 
@@ -101,3 +103,32 @@ def test_sketches_merge_without_the_lines(spark):
     assert abs(whole["customers"] - 900) <= 900 * sketches.ERROR and abs(whole["orders"] - 6_000) <= 6_000 * sketches.ERROR
     by = {r["sku_id"]: r["orders"] for r in sketches.roll_up(kept, "sku_id").collect()}
     assert len(by) == 3 and all(abs(n - 2_000) <= 2_000 * sketches.ERROR for n in by.values())
+
+
+def test_tasks_of_the_order_join_follow_the_lines(spark, monkeypatch):
+    tables = adapters.read_tables(spark, SF0001)
+    whole = clean.clean_sales(adapters.sales_daily(tables))
+    monkeypatch.setattr(adapters, "LINES_PER_TASK", 500)
+    dealt = clean.clean_sales(adapters.sales_daily(tables))
+    lines = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(lines) >= 10 and max(lines) <= 1_500
+    assert dealt.exceptAll(whole).count() == 0 and whole.exceptAll(dealt).count() == 0
+
+
+def test_customers_are_counted_apart_from_the_measures(spark):
+    def row(sku, day, who, units, price, discount, promo=True):
+        return (sku, dt.date(2024, 1, day), who, units, units * 1.25, price, discount, promo, 0.0, 0.0, 1.0, False)
+
+    data = [row("a", 1, "x", 2.0, 1.0, 0.1), row("a", 2, "x", 3.0, None, 0.2), row("a", 3, None, 4.0, 2.0, None, None), row("a", 8, "y", 1.0, None, None),
+            row("b", 1, "x", 1.0, 3.0, 0.0, False), row("b", 1, "y", 1.0, 3.0, 0.0), row(None, 1, None, 5.0, 1.0, 0.5), row("b", 1, "y", 1.0, 3.0, 0.0)]
+    sales = spark.createDataFrame(data, "sku_id string, date date, customer_id string, units_sold double, revenue double, unit_price double, discount_pct double, "
+                                        "promo_flag boolean, ad_spend double, page_views double, return_units double, stockout_flag boolean").repartition(3)
+    weekly = features.weekly_sales(sales, with_date_bounds=True)
+    plain = sales.groupBy("sku_id", week_floor("date").alias("week_start")).agg(
+        F.min("date"), F.max("date"), F.sum("units_sold"), F.sum(F.round(F.col("revenue") * 100).cast("bigint")) / 100, F.avg("unit_price"), F.sum(F.col("promo_flag").cast("int")),
+        F.avg("discount_pct"), F.sum("ad_spend"), F.sum("page_views"), F.sum("return_units"), F.sum(F.col("stockout_flag").cast("int")), F.countDistinct("customer_id"))
+    key = lambda r: (r["sku_id"] or "", r["week_start"])
+    for got, want in zip(sorted(weekly.collect(), key=key), sorted(plain.collect(), key=key), strict=True):
+        assert list(got) == pytest.approx(list(want))
+    assert [f.dataType for f in weekly.schema] == [f.dataType for f in plain.schema]
+    assert re.search(r"hashpartitioning\(sku_id#\d+, week_start#\d+, _who#\d+", plan_of(weekly))
