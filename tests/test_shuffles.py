@@ -132,3 +132,10 @@ def test_customers_are_counted_apart_from_the_measures(spark):
         assert list(got) == pytest.approx(list(want))
     assert [f.dataType for f in weekly.schema] == [f.dataType for f in plain.schema]
     assert re.search(r"hashpartitioning\(sku_id#\d+, week_start#\d+, _who#\d+", plan_of(weekly))
+
+
+def test_extracts_are_parsed_once_and_not_shuffled_by_file(spark, tmp_path):
+    (tmp_path / "calendar.csv").write_text("date,week,month,season,is_holiday,promo_event\n2024-01-01,1,1,Q1,False,None\n2024-01-02,1\n")
+    rows, bad = io.read_quarantined(spark, "calendar", str(tmp_path / "calendar.csv"))
+    assert "csv" not in plan_of(rows) + plan_of(bad) and rows.count() == bad.count() == 1
+    assert "hashpartitioning" not in plan_of(io.read_extract(spark, "calendar", str(tmp_path / "calendar.csv")))
