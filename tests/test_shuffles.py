@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from stockpulse.functions import dedup
 from stockpulse.functions.columns import week_floor
-from stockpulse.operators import clean, features, sketches
+from stockpulse.operators import clean, customers, features, sketches
 from stockpulse.operators import views as V
 from stockpulse.plans.context import Context
 from stockpulse.session import materialize
@@ -115,6 +115,34 @@ def test_tasks_of_the_order_join_follow_the_lines(spark, monkeypatch):
     assert dealt.exceptAll(whole).count() == 0 and whole.exceptAll(dealt).count() == 0
 
 
+def test_customers_are_made_in_tasks_that_follow_the_lines(spark, monkeypatch):
+    i = F.col("id")
+    tables = {
+        "region": spark.createDataFrame([(0, "NORTH"), (1, "SOUTH")], "r_regionkey int, r_name string"),
+        "nation": spark.createDataFrame([(0, 0), (1, 1), (2, 0)], "n_nationkey int, n_regionkey int"),
+        "customer": spark.range(60).select(i.alias("c_custkey"), (i % 3).cast("int").alias("c_nationkey")),
+        "part": spark.range(7).select(i.alias("p_partkey"), (i % 2).cast("string").alias("p_brand"), F.lit("T").alias("p_type")),
+        "orders": spark.range(1_500).select(i.alias("o_orderkey"), (i % 50).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority")),
+        "lineitem": spark.range(6_000).select((i % 1_600).alias("l_orderkey"), F.when(i % 9 > 0, i % 7).alias("l_partkey"), (1 + i % 4).cast("double").alias("l_quantity"),
+                                              (10 + i % 90).cast("double").alias("l_extendedprice"), ((i % 5) / 100).alias("l_discount"), F.when(i % 6 > 0, "N").otherwise("R").alias("l_returnflag"),
+                                              F.lit("O").alias("l_linestatus"), F.timestamp_seconds(820_454_400 + i % 400 * 86_400).alias("l_shipdate"))}
+    tables["lineitem"] = tables["lineitem"].unionAll(tables["lineitem"].where("l_orderkey % 10 = 0"))
+
+    def segments():
+        sales = clean.clean_sales(adapters.sales_daily(tables))
+        found = customers.customer_segments(sales)
+        found = found.select(*[F.round(c, 9).alias(c) if t == "double" else c for c, t in found.dtypes])
+        return sorted(map(str, found.collect())), plan_of(customers.rfm_base(sales, materialize=False))
+
+    whole, _ = segments()
+    monkeypatch.setattr(adapters, "LINES_PER_TASK", 300)
+    dealt, plan = segments()
+    tasks = adapters.order_tasks(tables["lineitem"])
+    assert tasks > spark.sparkContext.defaultParallelism
+    assert re.search(rf"hashpartitioning\(l_orderkey#\d+L, {tasks}\), REPARTITION_BY_NUM", plan)
+    assert len(dealt) == 50 and dealt == whole
+
+
 def test_customers_are_counted_apart_from_the_measures(spark):
     def row(sku, day, who, units, price, discount, promo=True):
         return (sku, dt.date(2024, 1, day), who, units, units * 1.25, price, discount, promo, 0.0, 0.0, 1.0, False)
