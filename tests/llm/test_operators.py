@@ -570,6 +570,35 @@ def test_edits_within_a_bound():
         assert all(lines.within(a, b, k) == (k >= least) for k in range(16)), (a, b)
 
 
+@pytest.mark.parametrize("pairs_a_word", [0, 4, 1_000_000])
+def test_edits_of_many_pairs_at_once(monkeypatch, pairs_a_word):
+    monkeypatch.setattr(lines, "PAIRS_A_WORD", pairs_a_word)
+    rng = random.Random(5)
+    firsts, seconds, allowed, want = [], [], [], []
+    for _ in range(150):
+        a = "".join(rng.choices("abcé日 ", k=rng.choice([0, 1, 9, 63, 64, 65, 130])))
+        b = _typed(rng, a, min(rng.randint(0, 30), len(a) // 2), "ab日") if rng.random() < 0.7 else "".join(rng.choices("abcé日 ", k=max(0, len(a) + rng.randint(-9, 9))))
+        least = _edit(a, b)
+        firsts.append(a), seconds.append(b), allowed.append(max(0, least + rng.randint(-3, 3)))
+        want.append(least <= allowed[-1])
+    assert lines.all_within(firsts, seconds, allowed).tolist() == want and 0 < sum(want) < 150
+    assert lines.all_within(seconds, firsts, allowed).tolist() == want
+    calls = []
+    monkeypatch.setattr(lines, "within", lambda *x: calls.append(x) or False)
+    lines.all_within(firsts, seconds, allowed)
+    assert (len(calls) == 0) == (pairs_a_word == 0)
+
+
+def test_no_pairs_at_once():
+    assert lines.all_within([], [], []).tolist() == []
+
+
+def test_pairs_with_many_characters_are_compared_one_by_one(monkeypatch):
+    monkeypatch.setattr(lines, "MASK_WORDS", 1)
+    a = ["".join(chr(0x4E00 + (i * j) % 997) for j in range(70)) for i in range(1, 40)]
+    assert lines.all_within(a, [x[:60] + "zz" + x[62:] for x in a], [2] * 39).all()
+
+
 def test_components(spark):
     rng = random.Random(11)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1060)]
