@@ -17,7 +17,7 @@ from stockpulse.llm.mixing import expand_copies, mix_to_budget
 from stockpulse.llm.ngram_join import keep_one_per_class
 from stockpulse.llm.queries import mix_weights, source_domain
 from stockpulse.llm.sharding import shard_by_bytes
-from stockpulse.session import ensure_checkpoint_dir, materialize
+from stockpulse.session import bound_batches, ensure_checkpoint_dir, materialize
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,18 +26,21 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null and empty texts go; repeated rows stay or go together; an empty table stays empty.
     """
     ensure_checkpoint_dir(spark)
+    bound_batches(spark)
     return keep_identified(docs, fit_language_model(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of every group linked by five-word shingle similarity of 0.8 or more."""
     ensure_checkpoint_dir(spark)
+    bound_batches(spark)
     return keep_one_per_class(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that leak an item of the benchmark."""
     ensure_checkpoint_dir(spark)
+    bound_batches(spark)
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 

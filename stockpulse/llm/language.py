@@ -223,6 +223,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least_evidence: float
     letters go, repeated rows all stay or all go, an empty table stays empty,
     and if no language is known every row goes.
     """
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{kwargs.pop('text', 'text')}`").alias("text"))
-    found = identify_languages(marked, model, **kwargs).where((F.col("lang_pred") != UNDETERMINED) & (F.col("evidence") >= least_evidence))
-    return found.select("_row.*")
+    # columns by number, so that none is named like an output and no text is carried twice while its row waits for Python
+    text = [c.lower() for c in docs.columns].index(kwargs.pop("text", "text").lower())
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    found = identify_languages(numbered, model, text=f"_{text}", **kwargs).where((F.col("lang_pred") != UNDETERMINED) & (F.col("evidence") >= least_evidence))
+    return found.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

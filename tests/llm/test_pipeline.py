@@ -54,3 +54,36 @@ def test_run_against_brute_force(spark):
         by[r["shard"]].append(r["slot"])
         assert r["size"] == len(docs[r["doc_id"]]["text"].encode()) + 1
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and set(by) <= set(range(16))
+
+
+def test_texts_reach_python_in_small_batches_and_wait_there_once(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from stockpulse.llm.language import keep_identified
+    from stockpulse.session import BATCH_BYTES, SMALL_BATCH, bound_batches
+
+    old = spark.conf.get(BATCH_BYTES)
+    spark.conf.unset(BATCH_BYTES)
+    try:
+        small = spark.createDataFrame([(1, "the law of the land", "en"), (2, None, "en")], "doc_id long, Text string, lang string")
+        for name, stage in corpus_pipeline.STAGES[:1]:
+            kept = stage(spark, small, SF)
+            assert kept.columns == small.columns and [tuple(r) for r in kept.collect()] == [(1, "the law of the land", "en")], name
+        assert spark.conf.get(BATCH_BYTES) == SMALL_BATCH
+        big = spark.range(0, 48, 1, 1).select("id", F.repeat(F.lit("ab c"), 1 << 18).alias("text"))
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+        got = big.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in got) == 48 and max(r["bytes"] for r in got) < 12 << 20
+        # the rows that wait for Python hold each text once
+        plan = keep_identified(small, corpus_pipeline.fit_language_model(small))._jdf.queryExecution().optimizedPlan().toString()
+        assert "struct(" not in plan
+        spark.conf.set(BATCH_BYTES, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(BATCH_BYTES) == "1m"
+    finally:
+        spark.conf.set(BATCH_BYTES, old)
